@@ -9,9 +9,14 @@ fractions and symmetry relations are the textbook ones (Abramowitz and Stegun,
 from __future__ import annotations
 
 import math
+import sys
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark import cloudpickle
+from pyspark.sql import Column, functions as F, types as T
+
+# The functions travel inside the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _TINY = 1e-300
 _EPS = 1e-16
@@ -83,7 +88,7 @@ def _present(*values) -> bool:
     return all(v is not None and v == v for v in values)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _chi2_sf(x: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series(
         [chi2_tail(s, k) if _present(s, k) and k > 0 else None for s, k in zip(x, dof)],
@@ -91,7 +96,7 @@ def _chi2_sf(x: pd.Series, dof: pd.Series) -> pd.Series:
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _f_sf(x: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     return pd.Series(
         [
