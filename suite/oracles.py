@@ -126,12 +126,22 @@ def _corr(x: str = "x", y: str = "y") -> str:
     return f"case when min({x}) <> max({x}) and min({y}) filter ({x} is not null) <> max({y}) filter ({x} is not null) then corr({x}, {y}) end"
 
 
+def _quantiles(sorted_list: str, probs: list[float]) -> str:
+    """Linear interpolation from the nearer neighbour, spelled out."""
+    place = f"(p * (len({sorted_list}) - 1))"
+    low, high = f"{sorted_list}[floor({place})::int + 1]", f"{sorted_list}[ceil({place})::int + 1]"
+    part = f"({place} - floor({place}))"
+    ps = ", ".join(f"{p!r}e0" for p in probs)
+    return f"""list_transform([{ps}], lambda p: case when {part} >= 0.5 then {high} - ({high} - {low}) * (1 - {part})
+      else {low} + ({high} - {low}) * {part} end)"""
+
+
 def _psi(name: str, source: str, actual: str, keys: str = "feature", month: str = "") -> str:
     """Stability index by explicit bins; ``actual`` selects the compared rows."""
-    qs = ", ".join(f"{q!r}e0" for q in DECILES)
     return f"""
-{name}_q as (
-  select feature, quantile_cont(x, [{qs}]) as q, count(x) as n_e from {source} where split = 'train' group by 1),
+{name}_l as (
+  select feature, list_sort(list(x)) as l, count(x) as n_e from {source} where split = 'train' and x is not null group by 1),
+{name}_q as (select feature, {_quantiles("l", DECILES)} as q, n_e from {name}_l),
 {name}_edges as (select feature, list_sort(list_distinct(q)) as e, n_e from {name}_q),
 {name}_bins as (
   select feature, e, n_e, unnest(range(1, greatest(len(e), 2))) as b from {name}_edges),
@@ -158,10 +168,6 @@ def _psi(name: str, source: str, actual: str, keys: str = "feature", month: str
   from {name}_shares group by all)"""
 
 
-def _union(rows: list[str]) -> str:
-    return " union all ".join(f"select {r}" for r in rows)
-
-
 ORACLES: dict[str, str] = {}
 SQL = ORACLES
 
@@ -459,7 +465,7 @@ SQL["score_threshold"] = _with(_SCORES, "select feature, round(m, 6) as score_me
 SQL["stability_tiers"] = _with(_SCORES, "select feature, kind, tier from tiers")
 SQL["selected_features"] = _with(_SCORES, """
 select feature, kind, round(stability, 6) as stability, round(score, 6) as score, tier, selected,
-  case when selected then row_number() over (partition by selected order by place, score desc, feature) end as rank
+  case when selected then row_number() over (partition by selected order by place, score desc, feature) end::int as rank
 from chosen""")
 SQL["selection_report"] = _with(_SCORES, """,
 ranked as (select feature, row_number() over (order by place, score desc, feature) as r from chosen where selected)
@@ -564,9 +570,10 @@ ml as (select period, string_agg(month, ',' order by month) as months from pd gr
 
 
 def _bins(score: str, bins: int) -> str:
-    qs = ", ".join(f"{(i * (1.0 / bins) if i < bins else 1.0)!r}e0" for i in range(bins + 1))
+    probs = [i * (1.0 / bins) for i in range(bins)] + [1.0]
     return f"""
-q as (select month, list_sort(list_distinct(quantile_cont({score}, [{qs}]))) as e from lines group by 1),
+ls as (select month, list_sort(list({score})) as l from lines group by 1),
+q as (select month, list_sort(list_distinct({_quantiles("l", probs)})) as e from ls),
 b as (
   select l.month, {score} as s, label, case when len(e) >= 2
     then greatest(len(list_filter(e, lambda t: t < {score})), 1) - 1 end as bin from lines l join q using (month)),
@@ -580,7 +587,7 @@ def _bin_columns(with_score: bool) -> str:
     columns = [
         ("bin", "bin::int"), ("count_population", "n"), ("count_positive", "p::bigint"),
         ("pct_distribution", "round_even(n / tn * 100, 2)"), ("positive_rate", "round_even(p / n * 100, 2)"),
-        *([("score_min", "round(lo, 6)"), ("score_max", "round(hi, 6)"), ("score_mean", "round(t / n, 6)")] if with_score else []),
+        *([("score_min", "round(lo, 9)"), ("score_max", "round(hi, 9)"), ("score_mean", "round(t / n, 9)")] if with_score else []),
         ("total_population", "tn::bigint"), ("total_positive", "tp::bigint"),
         ("overall_positive_rate", "round_even(tp / tn * 100, 2)"),
     ]

@@ -57,6 +57,14 @@ def splits(spark: SparkSession, sf: str) -> Splits:
     return prepare(V.risk_orders(spark, sf), V.RISK, V.WINDOWS)
 
 
+def staged(spark: SparkSession, sf: str) -> Splits:
+    """The splits as written tables, for queries that pass over them many times."""
+    parts, path = splits(spark, sf), scratch_path(spark, "splits")
+    write_stage(parts.raw, f"{path}/raw")
+    write_stage(parts.filled, f"{path}/filled")
+    return Splits(read_stage(spark, f"{path}/raw"), read_stage(spark, f"{path}/filled"))
+
+
 # Sources and sinks
 
 
@@ -93,7 +101,7 @@ def narrow_types(spark, sf):
 
 @query
 def selection_report(spark, sf):
-    parts = splits(spark, sf)
+    parts = staged(spark, sf)
     chosen = profile.settle(select_features(parts, V.RISK)).filter("selected")
     names = [r["feature"] for r in chosen.orderBy("rank").collect()]
     report = feature_report(chosen, cleaning.keep_features(parts.filled, V.RISK, names))
@@ -197,7 +205,7 @@ def keep_features(spark, sf):
 def features_labels(spark, sf):
     rows = splits(spark, sf).filled
     (assembler,) = training.feature_stages(rows, ["total_price", "n_lines", "acctbal"])
-    vector = vector_to_array(assembler.transform(rows)["features"])
+    vector = vector_to_array(F.col("features"))
     return assembler.transform(rows).select(
         "risk_id", "label", vector[0].alias("f0"), vector[1].alias("f1"), vector[2].alias("f2")
     )
@@ -404,29 +412,29 @@ def categorical_relationship(spark, sf):
 
 @query
 def combined_score(spark, sf):
-    return rounded(feature_scores(splits(spark, sf), V.RISK))
+    return rounded(feature_scores(staged(spark, sf), V.RISK))
 
 
 @query
 def score_threshold(spark, sf):
-    scores = selection.score_threshold(feature_scores(splits(spark, sf), V.RISK))
+    scores = selection.score_threshold(feature_scores(staged(spark, sf), V.RISK))
     return rounded(scores.select("feature", "score_mean", "min_score"))
 
 
 @query
 def stability_tiers(spark, sf):
-    tiers = selection.stability_tier(feature_scores(splits(spark, sf), V.RISK))
+    tiers = selection.stability_tier(feature_scores(staged(spark, sf), V.RISK))
     return tiers.select("feature", "kind", "tier")
 
 
 @query
 def selected_features(spark, sf):
-    return rounded(select_features(splits(spark, sf), V.RISK))
+    return rounded(select_features(staged(spark, sf), V.RISK))
 
 
 @query
 def top_features(spark, sf):
-    return rounded(selection.top_features(select_features(splits(spark, sf), V.RISK)))
+    return rounded(selection.top_features(select_features(staged(spark, sf), V.RISK)))
 
 
 @query
@@ -443,7 +451,7 @@ def forest_importance(spark, sf):
 
 @query
 def forest_blend(spark, sf):
-    parts = splits(spark, sf)
+    parts = staged(spark, sf)
     scores = profile.settle(feature_scores(parts, V.RISK))
     names = [r["feature"] for r in scores.orderBy("feature").collect()]
     return selection.join_importance(scores, selection.forest_importance(parts.filled, names, "label"))
@@ -542,7 +550,7 @@ def early_vs_latest(spark, sf):
 
 @query
 def score_bins(spark, sf):
-    return rounded(evaluation.score_bins(V.scored_lines(spark, sf), V.LINES, "score"))
+    return rounded(evaluation.score_bins(V.scored_lines(spark, sf), V.LINES, "score"), 9)
 
 
 @query
@@ -630,15 +638,13 @@ def _event_model(spark, sf):
 @query
 def stream_scores(spark, sf):
     leader = _event_model(spark, sf)
-    path = f"{sf}/events.parquet"
-    stream = read_stream(spark, path, spark.read.parquet(path).schema)
+    stream = read_stream(spark, f"{sf}/events.parquet*", V.table(spark, sf, "events").schema)
     return run_available(score_stream(stream, leader.model, leader.features, ["event_id"]), "stream_scores")
 
 
 @query
 def stream_monitor(spark, sf):
-    path = f"{sf}/events.parquet"
-    stream = read_stream(spark, path, spark.read.parquet(path).schema).select(
+    stream = read_stream(spark, f"{sf}/events.parquet*", V.table(spark, sf, "events").schema).select(
         "ts", F.col("value").alias("score"), F.when(F.col("event_type") == "purchase", 1).otherwise(0).alias("label")
     )
     seen = run_available(

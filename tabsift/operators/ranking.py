@@ -142,7 +142,9 @@ def exact_quantiles(
         place = F.lit(float(p)) * (F.col("n") - 1)
         low = F.element_at("at", F.floor(place).cast("bigint"))
         high = F.element_at("at", F.ceil(place).cast("bigint"))
-        return low + (high - low) * (place - F.floor(place))
+        part = place - F.floor(place)
+        # From the nearer end, so that a part just under one gives the upper value exactly.
+        return F.when(part >= 0.5, high - (high - low) * (1.0 - part)).otherwise(low + (high - low) * part)
 
     return found.select(*keys, "n", F.array(*(quantile(p) for p in probs)).alias("quantiles"))
 

@@ -73,9 +73,8 @@ def fold_of(roles: Roles, folds: int, seed: int = 42):
 def candidates(seed: int = 42, early_stop: bool = False) -> list[tuple[str, Estimator]]:
     """Models to try, in order."""
     common = {"featuresCol": "features", "labelCol": "label__", "weightCol": "class_weight"}
-    boosted = GBTClassifier(maxIter=20, maxDepth=5, seed=seed, maxBins=MAX_BINS, **common)
-    if early_stop:
-        boosted = boosted.setValidationIndicatorCol("validation__").setValidationTol(STOP_TOLERANCE)
+    stop = {"validationIndicatorCol": "validation__", "validationTol": STOP_TOLERANCE} if early_stop else {}
+    boosted = GBTClassifier(maxIter=20, maxDepth=5, seed=seed, maxBins=MAX_BINS, **stop, **common)
     return [
         ("gradient_boosted_trees", boosted),
         (

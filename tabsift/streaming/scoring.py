@@ -11,7 +11,7 @@ from tabsift.session import scratch_path
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
-    """New parquet files below ``path`` as a stream."""
+    """New parquet files as a stream; ``path`` is a folder or a pattern."""
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
