@@ -19,6 +19,7 @@ from tabsift.plans.preprocess import (
     fallback_features,
     prepare,
     select_features,
+    stage,
 )
 from tabsift.session import scratch_path
 from tabsift.sources import log_run, read_columns, read_stage, read_table, table_info, write_stage
@@ -58,11 +59,8 @@ def splits(spark: SparkSession, sf: str) -> Splits:
 
 
 def staged(spark: SparkSession, sf: str) -> Splits:
-    """The splits as written tables, for queries that pass over them many times."""
-    parts, path = splits(spark, sf), scratch_path(spark, "splits")
-    write_stage(parts.raw, f"{path}/raw")
-    write_stage(parts.filled, f"{path}/filled")
-    return Splits(read_stage(spark, f"{path}/raw"), read_stage(spark, f"{path}/filled"))
+    """The splits from a written table, for queries that pass over them many times."""
+    return stage(splits(spark, sf), V.RISK, scratch_path(spark, "splits"))
 
 
 # Sources and sinks

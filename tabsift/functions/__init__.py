@@ -1,5 +1,4 @@
 from tabsift.functions.columns import (
-    closed_left_bin,
     closed_right_bin,
     linear_probs,
     percent,
@@ -11,7 +10,6 @@ from tabsift.functions.pvalues import chi2_sf, f_sf
 
 __all__ = [
     "chi2_sf",
-    "closed_left_bin",
     "closed_right_bin",
     "f_sf",
     "linear_probs",

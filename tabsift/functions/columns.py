@@ -43,27 +43,14 @@ def linear_probs(bins: int) -> list[float]:
     return [i * (1.0 / bins) for i in range(bins)] + [1.0]
 
 
-def _edges_at_or_below(x: Column, edges: Column, most: int, strict: bool) -> Column:
-    # A sum of comparisons is compiled; a higher-order filter() would not be.
-    def one(i: int) -> Column:
-        edge = F.get(edges, F.lit(i))
-        return F.when(edge < x if strict else edge <= x, 1).otherwise(0)
-
-    return reduce(lambda a, b: a + b, (one(i) for i in range(most)))
-
-
-def closed_left_bin(x: Column, edges: Column, most: int) -> Column:
-    """0-based bin in [e0,e1), [e1,e2), ..., the last one closed; NULL outside.
+def closed_right_bin(x: Column, edges: Column, most: int) -> Column:
+    """0-based bin in [e0,e1], (e1,e2], ...; NULL when there are fewer than two edges.
 
-    ``edges`` is a sorted array of distinct values, at most ``most`` of them.
+    ``edges`` is a sorted array of distinct values, at most ``most`` of them. A sum
+    of comparisons is compiled; a higher-order filter() would not be.
     """
-    last = F.size(edges) - 1
-    at = _edges_at_or_below(x, edges, most, strict=False)
-    inside = (at > 0) & (x <= F.get(edges, last))
-    return F.when(inside, F.least(at, last) - 1)
-
-
-def closed_right_bin(x: Column, edges: Column, most: int) -> Column:
-    """0-based bin in [e0,e1], (e1,e2], ...; NULL when there are fewer than two edges."""
-    below = _edges_at_or_below(x, edges, most, strict=True)
+    below = reduce(
+        lambda a, b: a + b,
+        (F.when(F.get(edges, F.lit(i)) < x, 1).otherwise(0) for i in range(most)),
+    )
     return F.when(F.size(edges) >= 2, F.greatest(below, F.lit(1)) - 1)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabsift.functions.columns import closed_left_bin, col, linear_probs, ratio
+from tabsift.functions.columns import col, linear_probs, ratio
 from tabsift.operators.profile import chi2_two_columns, contingency, mutual_information, numeric_moments
-from tabsift.operators.ranking import exact_quantiles, stacked
+from tabsift.operators.ranking import cut_stacked, exact_quantiles, stacked
 from tabsift.roles import Roles
 
 # Fixed values of the index.
@@ -29,23 +31,31 @@ MIN_MONTH_ROWS = 50
 INFINITE = float("inf")
 
 
-def quantile_edges(expected: DataFrame, names: list[str], bins: int = BINS) -> DataFrame:
-    """Distinct bin edges per feature from the expected rows: ``feature, edges``."""
-    found = exact_quantiles(expected, [], names, linear_probs(bins))
-    return found.select("feature", F.array_distinct("quantiles").alias("edges"))
+def quantile_edges(expected: DataFrame, names: list[str], bins: int = BINS) -> dict[str, list[float]]:
+    """Distinct bin edges per feature from the expected rows, exact.
+
+    They are read to the driver: ``bins + 1`` numbers per feature.
+    """
+    found = exact_quantiles(expected, [], names, linear_probs(bins)).select("feature", "quantiles").collect()
+    edges = {r["feature"]: sorted(set(r["quantiles"])) for r in found}
+    return {c: edges.get(c, []) for c in names}
 
 
-def bin_counts(df: DataFrame, by: list[str], names: list[str], edges: DataFrame, bins: int = BINS) -> DataFrame:
+def bin_counts(df: DataFrame, by: list[str], edges: dict[str, list[float]]) -> DataFrame:
     """``by, feature, n, counts``: present values and rows per bin as a map.
 
-    Key -1 counts values outside the edges. The edges are one row per feature.
+    Bins are [e0,e1), [e1,e2), ..., the last one closed. Key -1 counts values outside.
     """
-    long = stacked(df, by, {c: [col(c).cast("double")] for c in names}, ["x"])
-    placed = long.filter(F.col("x").isNotNull()).join(F.broadcast(edges), "feature")
-    bin_of = F.coalesce(closed_left_bin(F.col("x"), F.col("edges"), bins + 1), F.lit(-1))
+    cuts = {c: [*e[:-1], math.nextafter(e[-1], math.inf)] if e else [0.0] for c, e in edges.items()}
+    last = F.create_map(*(x for c, e in edges.items() for x in (F.lit(c), F.lit(len(e) - 1))))
+    placed = cut_stacked(df, by, cuts)
+    inside = (F.col("bucket") > 0) & (F.col("bucket") <= last[F.col("feature")])
     return (
-        placed.groupBy(*by, "feature", bin_of.alias("bin"))
+        placed.groupBy(*by, "feature", "bucket")
         .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("bin", F.when(inside, F.col("bucket") - 1).otherwise(-1))
+        .groupBy(*by, "feature", "bin")
+        .agg(F.sum("n").alias("n"))
         .groupBy(*by, "feature")
         .agg(
             F.sum("n").alias("n"),
@@ -65,24 +75,35 @@ def _share(counts: Column, i: Column, total: Column) -> Column:
     return (n + COUNT_PAD) / (total + TOTAL_PAD)
 
 
-def psi_of(edges: Column, expected: Column, actual: Column, n_e: Column, n_a: Column, undefined: float) -> Column:
-    """Stability index of two count maps over the same edges, clamped to [0, PSI_CAP].
+def psi_of(n_edges: Column, expected: Column, actual: Column, n_e: Column, n_a: Column, undefined: float) -> Column:
+    """Stability index of two count maps over the same bins, clamped to [0, PSI_CAP].
 
     Shares are of the rows inside the edges. Too few values or edges give ``undefined``.
     """
     def term(i: Column) -> Column:
-        e = _share(expected, i, _in_bins(expected).cast("double"))
-        a = _share(actual, i, _in_bins(actual).cast("double"))
+        e = _share(expected, i, F.col("in_e"))
+        a = _share(actual, i, F.col("in_a"))
         return (a - e) * F.ln(a / e)
 
-    places = F.sequence(F.lit(0), F.greatest(F.size(edges) - 2, F.lit(0)))
+    places = F.sequence(F.lit(0), F.greatest(n_edges - 2, F.lit(0)))
     total = F.aggregate(F.transform(places, term), F.lit(0.0), lambda a, b: a + b)
-    enough = (n_e >= MIN_VALUES) & (n_a >= MIN_VALUES) & (F.size(edges) >= MIN_EDGES)
+    enough = (n_e >= MIN_VALUES) & (n_a >= MIN_VALUES) & (n_edges >= MIN_EDGES)
     return F.when(
         F.coalesce(enough, F.lit(False)), F.greatest(F.lit(0.0), F.least(total, F.lit(PSI_CAP)))
     ).otherwise(F.lit(undefined))
 
 
+def _with_psi(table: DataFrame, edges: dict[str, list[float]], undefined: float) -> DataFrame:
+    """Add ``psi`` to a table with ``feature, e, a, n_e, n_a``."""
+    n_edges = F.create_map(*(x for c, e in edges.items() for x in (F.lit(c), F.lit(len(e)))))
+    sums = table.withColumns({
+        "n_edges": n_edges[F.col("feature")],
+        "in_e": _in_bins(F.col("e")).cast("double"), "in_a": _in_bins(F.col("a")).cast("double"),
+    })
+    value = psi_of(*(F.col(c) for c in ("n_edges", "e", "a", "n_e", "n_a")), undefined)
+    return sums.withColumn("psi", value)
+
+
 def psi(split: DataFrame, names: list[str], bins: int = BINS, undefined: float = INFINITE) -> DataFrame:
     """Index of each numeric feature, train against out-of-time rows.
 
@@ -90,7 +111,7 @@ def psi(split: DataFrame, names: list[str], bins: int = BINS, undefined: float =
     bin, so the index does not see them; the share does.
     """
     edges = quantile_edges(split.filter(F.col("split") == "train"), names, bins)
-    counts = bin_counts(split, ["split"], names, edges, bins)
+    counts = bin_counts(split, ["split"], edges)
 
     def side(tag: str, alias: str) -> list[Column]:
         mine = F.col("split") == tag
@@ -104,14 +125,8 @@ def psi(split: DataFrame, names: list[str], bins: int = BINS, undefined: float =
         F.coalesce(F.try_element_at("a", F.lit(-1)), F.lit(0)).cast("double"), F.col("n_a").cast("double")
     )
     listed = split.sparkSession.createDataFrame([(c,) for c in names], "feature string")
-    return (
-        listed.join(F.broadcast(edges), "feature", "left")
-        .join(F.broadcast(sides), "feature", "left")
-        .select(
-            "feature",
-            psi_of(*(F.col(c) for c in ("edges", "e", "a", "n_e", "n_a")), undefined).alias("psi"),
-            outside.alias("out_of_range_share"),
-        )
+    return _with_psi(listed.join(F.broadcast(sides), "feature", "left"), edges, undefined).select(
+        "feature", "psi", outside.alias("out_of_range_share")
     )
 
 
@@ -182,10 +197,10 @@ def monthly_psi(
         "month", F.date_format(col(roles.date), "yyyy-MM")
     )
     edges = quantile_edges(train, names, bins)
-    expected = bin_counts(train, [], names, edges, bins).select(
+    expected = bin_counts(train, [], edges).select(
         "feature", F.col("n").alias("n_e"), F.col("counts").alias("e")
     )
-    actual = bin_counts(dated, ["month"], names, edges, bins).select(
+    actual = bin_counts(dated, ["month"], edges).select(
         "month", "feature", F.col("n").alias("n_a"), F.col("counts").alias("a")
     )
     sizes = dated.groupBy("month").agg(F.count(F.lit(1)).alias("samples"))
@@ -193,16 +208,11 @@ def monthly_psi(
         sizes = sizes.orderBy("month").limit(months)
     listed = sizes.withColumn("feature", F.explode(F.array(*(F.lit(c) for c in names))))
     small = F.col("samples") < MIN_MONTH_ROWS
-    value = psi_of(*(F.col(c) for c in ("edges", "e", "a", "n_e", "n_a")), 0.0)
-    return (
-        listed.join(actual, ["month", "feature"], "left")
-        .join(F.broadcast(edges), "feature", "left")
-        .join(F.broadcast(expected), "feature", "left")
-        .select(
-            "month", "feature", "samples",
-            F.when(~small, value).alias("psi"),
-            F.when(small, F.format_string("Insufficient data (%d samples)", F.col("samples"))).alias("error"),
-        )
+    joined = listed.join(actual, ["month", "feature"], "left").join(F.broadcast(expected), "feature", "left")
+    return _with_psi(joined, edges, 0.0).select(
+        "month", "feature", "samples",
+        F.when(~small, F.col("psi")).alias("psi"),
+        F.when(small, F.format_string("Insufficient data (%d samples)", F.col("samples"))).alias("error"),
     )
 
 

@@ -59,12 +59,14 @@ def bucket_cuts(
     return {v: cuts.get(v) or [0.0] for v in values}
 
 
-def bucketed(
-    df: DataFrame, keys: list[str], values: list[str], cuts: dict[str, list[float]] | None = None
-) -> DataFrame:
-    """Long form ``keys, feature, bucket, value`` of the present values."""
-    cuts = cuts or bucket_cuts(df, values)
+def cut_stacked(df: DataFrame, keys: list[str], cuts: dict[str, list[float]]) -> DataFrame:
+    """Long form ``keys, feature, bucket, value`` of the present values.
+
+    Bucket 0 lies below the first cut, bucket i from cut i-1 up to cut i, its upper end
+    open. The search is binary and runs in the JVM.
+    """
     ends = (float("-inf"), float("inf"))
+    values = list(cuts)
     plain = df.select(*(col(k) for k in keys), *(_number(v).alias(f"__x{i}") for i, v in enumerate(values)))
     cutter = Bucketizer(
         inputCols=[f"__x{i}" for i in range(len(values))],
@@ -80,6 +82,13 @@ def bucketed(
     )
 
 
+def bucketed(
+    df: DataFrame, keys: list[str], values: list[str], cuts: dict[str, list[float]] | None = None
+) -> DataFrame:
+    """Long form with buckets at sampled (or given) cuts."""
+    return cut_stacked(df, keys, cuts or bucket_cuts(df, values))
+
+
 def _wanted_ranks(probs: list[float], rows: Column) -> Column:
     """0-based places of the order statistics that the quantiles lie between."""
     places = [p * (rows - 1) for p in (F.lit(float(p)) for p in probs)]
@@ -111,24 +120,23 @@ def exact_quantiles(
         .withColumn("total", F.sum("n").over(Window.partitionBy(*keys)))
         .withColumn("before", F.sum("n").over(ordered) - F.col("n"))
     )
-    hits = F.filter(
-        _wanted_ranks(probs, F.col("total")),
-        lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("n")),
-    )
+    def hits(total: Column, first: Column, n: Column) -> Column:
+        return F.filter(_wanted_ranks(probs, total), lambda r: (r >= first) & (r < first + n))
+
     # At most two buckets per probability and (group, feature).
     wanted = F.broadcast(
-        sizes.withColumn("hits", hits).filter(F.size("hits") > 0).drop("n")
+        sizes.filter(F.size(hits(F.col("total"), F.col("before"), F.col("n"))) > 0).drop("n")
     )
     near = (
-        long.join(wanted.select(*keys, "bucket"), [*keys, "bucket"], "left_semi")
+        long.join(wanted, [*keys, "bucket"])
         .groupBy(*keys, "bucket", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"), F.first("before").alias("before"), F.first("total").alias("total"))
     )
     inside = Window.partitionBy(*keys, "bucket").orderBy("value")
-    placed = near.withColumn("upto", F.sum("n").over(inside)).join(wanted, [*keys, "bucket"])
-    first = F.col("before") + F.col("upto") - F.col("n")
+    first = F.col("before") + F.sum("n").over(inside) - F.col("n")
     found = (
-        placed.withColumn("hits", F.filter("hits", lambda r: (r >= first) & (r < first + F.col("n"))))
+        near.withColumn("first", first)
+        .withColumn("hits", hits(F.col("total"), F.col("first"), F.col("n")))
         .filter(F.size("hits") > 0)
         .select(*keys, "total", "value", F.explode("hits").alias("place"))
         .groupBy(*keys)

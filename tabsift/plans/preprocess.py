@@ -52,11 +52,21 @@ class Splits:
     filled: DataFrame
 
 
+def with_filled(raw: DataFrame, roles: Roles) -> Splits:
+    """Fill and round are projections of the split rows; they cost no pass of their own."""
+    return Splits(raw, round_features(fill_sentinel(raw, roles), roles))
+
+
 def prepare(df: DataFrame, roles: Roles, windows: Windows) -> Splits:
-    """Keep the roles, drop constants, fill, round and split."""
+    """Keep the roles, drop constants, split, fill and round."""
     chosen = drop_constant(to_datetime(select_roles(df, roles), roles.date), roles)
-    filled = round_features(fill_sentinel(chosen, roles), roles)
-    return Splits(split_by_date(chosen, roles.date, windows), split_by_date(filled, roles.date, windows))
+    return with_filled(split_by_date(chosen, roles.date, windows), roles)
+
+
+def stage(splits: Splits, roles: Roles, path: str) -> Splits:
+    """Write the split rows once, so that later passes read columns and not their source."""
+    write_stage(splits.raw, path)
+    return with_filled(read_stage(splits.raw.sparkSession, path), roles)
 
 
 def _labelled(split: DataFrame, options: SelectionOptions) -> DataFrame:
@@ -155,19 +165,15 @@ class Prepared:
 
 
 def preprocess(
-    df: DataFrame, roles: Roles, windows: Windows, stage: str, options: SelectionOptions = SelectionOptions()
+    df: DataFrame, roles: Roles, windows: Windows, path: str, options: SelectionOptions = SelectionOptions()
 ) -> Prepared:
-    """The whole step: check, clean, split, select, write the stage table to ``stage``.
+    """The whole step: check, clean, split, select, with the split rows written to ``path``.
 
-    The filled split table is written once, partitioned by split, and the statistics
-    read it back; the many passes do not repeat the cleaning or what lies before it.
+    The split table is written once, partitioned by split, and the statistics read it
+    back; the many passes do not repeat what lies before it.
     """
-    spark = df.sparkSession
     require(data_checks(to_datetime(df, roles.date), roles, windows))
-    splits = prepare(df, roles, windows)
-    write_stage(splits.raw, f"{stage}/raw")
-    write_stage(splits.filled, f"{stage}/filled")
-    splits = Splits(read_stage(spark, f"{stage}/raw"), read_stage(spark, f"{stage}/filled"))
+    splits = stage(prepare(df, roles, windows), roles, path)
     ranking = settle(select_features(splits, roles, options))
     features = [r["feature"] for r in ranking.filter("selected").orderBy("rank").collect()]
     kept = keep_features(splits.filled, roles, features)
