@@ -91,10 +91,11 @@ def bucketed(
 
 def _wanted_ranks(probs: list[float], rows: Column) -> Column:
     """0-based places of the order statistics that the quantiles lie between."""
-    places = [p * (rows - 1) for p in (F.lit(float(p)) for p in probs)]
-    return F.array_distinct(
-        F.array(*(f(p).cast("bigint") for p in places for f in (F.floor, F.ceil)))
-    )
+    def around(p: Column) -> Column:
+        place = p * (rows - 1)
+        return F.array(F.floor(place), F.ceil(place))
+
+    return F.array_distinct(F.flatten(F.transform(F.lit(probs), around)))
 
 
 def exact_quantiles(
@@ -120,25 +121,29 @@ def exact_quantiles(
         .withColumn("total", F.sum("n").over(Window.partitionBy(*keys)))
         .withColumn("before", F.sum("n").over(ordered) - F.col("n"))
     )
-    def hits(total: Column, first: Column, n: Column) -> Column:
-        return F.filter(_wanted_ranks(probs, total), lambda r: (r >= first) & (r < first + n))
+    ranks = _wanted_ranks(probs, F.col("total"))
+
+    def hits(first: Column) -> Column:
+        return F.filter(ranks, lambda r: (r >= first) & (r < first + F.col("n")))
 
-    # At most two buckets per probability and (group, feature).
+    # At most two buckets per probability and (group, feature); lowest and highest
+    # wanted place let most of a bucket's rows be passed over by plain comparisons.
     wanted = F.broadcast(
-        sizes.filter(F.size(hits(F.col("total"), F.col("before"), F.col("n"))) > 0).drop("n")
+        sizes.withColumn("hits", hits(F.col("before")))
+        .filter(F.size("hits") > 0)
+        .select(*keys, "bucket", "before", "total", F.array_min("hits").alias("low"), F.array_max("hits").alias("high"))
     )
+    carried = ("before", "total", "low", "high")
     near = (
         long.join(wanted, [*keys, "bucket"])
         .groupBy(*keys, "bucket", "value")
-        .agg(F.count(F.lit(1)).alias("n"), F.first("before").alias("before"), F.first("total").alias("total"))
+        .agg(F.count(F.lit(1)).alias("n"), *(F.first(c).alias(c) for c in carried))
     )
     inside = Window.partitionBy(*keys, "bucket").orderBy("value")
-    first = F.col("before") + F.sum("n").over(inside) - F.col("n")
     found = (
-        near.withColumn("first", first)
-        .withColumn("hits", hits(F.col("total"), F.col("first"), F.col("n")))
-        .filter(F.size("hits") > 0)
-        .select(*keys, "total", "value", F.explode("hits").alias("place"))
+        near.withColumn("first", F.col("before") + F.sum("n").over(inside) - F.col("n"))
+        .filter((F.col("first") <= F.col("high")) & (F.col("first") + F.col("n") > F.col("low")))
+        .select(*keys, "total", "value", F.explode(hits(F.col("first"))).alias("place"))
         .groupBy(*keys)
         .agg(
             F.first("total").alias("n"),
@@ -146,15 +151,15 @@ def exact_quantiles(
         )
     )
 
-    def quantile(p: float) -> Column:
-        place = F.lit(float(p)) * (F.col("n") - 1)
-        low = F.element_at("at", F.floor(place).cast("bigint"))
-        high = F.element_at("at", F.ceil(place).cast("bigint"))
+    def quantile(p: Column) -> Column:
+        place = p * (F.col("n") - 1)
+        low = F.element_at("at", F.floor(place))
+        high = F.element_at("at", F.ceil(place))
         part = place - F.floor(place)
         # From the nearer end, so that a part just under one gives the upper value exactly.
         return F.when(part >= 0.5, high - (high - low) * (1.0 - part)).otherwise(low + (high - low) * part)
 
-    return found.select(*keys, "n", F.array(*(quantile(p) for p in probs)).alias("quantiles"))
+    return found.select(*keys, "n", F.transform(F.lit(probs), quantile).alias("quantiles"))
 
 
 def _counts(df, groups, values, label, cuts):
