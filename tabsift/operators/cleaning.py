@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tabsift.functions.columns import col, round_half_even
@@ -23,6 +25,7 @@ INTEGER_RANGES = [
     ("int", -(2**31), 2**31 - 1),
 ]
 FLOAT_MAX = 3.4028234663852886e38
+COLUMNS_PER_AGGREGATE = 100
 
 
 def select_roles(df: DataFrame, roles: Roles) -> DataFrame:
@@ -46,25 +49,33 @@ def to_datetime(df: DataFrame, date: str, lenient: bool = False) -> DataFrame:
 
 
 def _min_max(df: DataFrame, names: list[str]) -> DataFrame:
-    """One scan for all columns; one row per column with its range as double and text."""
-    if not names:
-        return df.sparkSession.createDataFrame([], "column_name string, n bigint, constant boolean")
-    aggs = df.agg(
-        *(
-            F.struct(
-                F.count(col(c)).alias("n"),
-                (F.min(col(c)) == F.max(col(c))).alias("constant"),
-            ).alias(f"c{i}")
-            for i, c in enumerate(names)
+    """One row per column: present values and whether they are all equal.
+
+    A hundred columns share an aggregate; more would outgrow compiled code. Each
+    aggregate reads only its own columns.
+    """
+    def some(part: list[str]) -> DataFrame:
+        aggs = df.agg(
+            *(
+                F.struct(
+                    F.count(col(c)).alias("n"),
+                    (F.min(col(c)) == F.max(col(c))).alias("constant"),
+                ).alias(f"c{i}")
+                for i, c in enumerate(part)
+            )
         )
-    )
-    rows = F.array(
-        *(
-            F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}.n"), F.col(f"c{i}.constant"))
-            for i, c in enumerate(names)
+        rows = F.array(
+            *(
+                F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}.n"), F.col(f"c{i}.constant"))
+                for i, c in enumerate(part)
+            )
         )
-    )
-    return aggs.select(F.inline(rows))
+        return aggs.select(F.inline(rows))
+
+    if not names:
+        return df.sparkSession.createDataFrame([], "column_name string, n bigint, constant boolean")
+    parts = [some(names[i : i + COLUMNS_PER_AGGREGATE]) for i in range(0, len(names), COLUMNS_PER_AGGREGATE)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def constant_columns(df: DataFrame, names: list[str]) -> DataFrame:

@@ -71,14 +71,19 @@ def contingency(df: DataFrame, names: list[str], target: str, by_split: bool = F
     tag = ["split"] if by_split else []
     long = stacked(df, [*tag, target], {c: [col(c)] for c in names}, ["value"])
     y = col(target)
-    counts = [F.count_if(y == 0).alias("n0"), F.count_if(y == 1).alias("n1")]
-    if by_split:
-        counts += [
+    if not by_split:
+        return long.groupBy("feature", "value").agg(
+            F.count_if(y == 0).alias("n0"), F.count_if(y == 1).alias("n1")
+        )
+    # The totals are sums of the parts, so that all users of the table share one pass.
+    parts = long.groupBy("feature", "value").agg(
+        *(
             F.count_if((y == c) & (F.col("split") == split)).alias(f"{short}{c}")
             for short, split in (("t", "train"), ("o", "oot"))
             for c in (0, 1)
-        ]
-    return long.groupBy("feature", "value").agg(*counts)
+        )
+    )
+    return parts.withColumns({f"n{c}": F.col(f"t{c}") + F.col(f"o{c}") for c in (0, 1)})
 
 
 def chi2_two_columns(table: DataFrame, a: Column, b: Column, yates: bool = True) -> DataFrame:
@@ -191,9 +196,10 @@ def numeric_quality(moments: DataFrame) -> DataFrame:
 def categorical_quality(table: DataFrame) -> DataFrame:
     """Screen of text features from their contingency table, missing as NULL."""
     stats = cardinality(table)
-    present = table.filter(F.col("value").isNotNull())
+    # Blanked, not filtered: a filter would sink below the counting and cost a second pass.
+    present = [F.when(F.col("value").isNotNull(), F.col(c)).otherwise(0) for c in ("n0", "n1")]
     low, high = QUICK_CATEGORIES
-    quick = chi2_two_columns(present, F.col("n0"), F.col("n1")).select("feature", "p")
+    quick = chi2_two_columns(table, *present).select("feature", "p")
     joined = stats.join(F.broadcast(quick), "feature", "left").withColumn(
         "missing_ratio", 1.0 - F.col("n_valid") / F.col("n_rows")
     )
