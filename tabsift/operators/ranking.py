@@ -29,7 +29,10 @@ SAMPLE_FRACTION = 0.02
 def stacked(df: DataFrame, keys: list[str], columns: dict[str, list[Column]], names: list[str]) -> DataFrame:
     """Long form: one row per (row, feature), with the given value columns."""
     args = [arg for feature, values in columns.items() for arg in (F.lit(feature), *values)]
-    return df.select(*(col(k) for k in keys), F.stack(F.lit(len(columns)), *args).alias("feature", *names))
+    long = df.select(*(col(k) for k in keys), F.stack(F.lit(len(columns)), *args).alias("feature", *names))
+    # Never NULL, but saying so gives all uses of the table, joined or not, the same plan,
+    # and with it one shared shuffle.
+    return long.filter(F.col("feature").isNotNull())
 
 
 def _number(name: str) -> Column:
