@@ -152,8 +152,11 @@ def numeric_stability(split: DataFrame, roles: Roles, names: list[str] | None =
 
 def aligned_categories(table: DataFrame) -> DataFrame:
     """Train and out-of-time rows of every category seen in either: ``feature, value, train, oot``."""
+    # Counted from the totals, as the mutual information is: the two then need the
+    # same columns in the same order and share one pass.
+    oot = F.col("o0") + F.col("o1")
     return table.select(
-        "feature", "value", (F.col("t0") + F.col("t1")).alias("train"), (F.col("o0") + F.col("o1")).alias("oot")
+        "feature", "value", (F.col("n0") + F.col("n1") - oot).alias("train"), oot.alias("oot")
     )
 
 

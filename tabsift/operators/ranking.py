@@ -14,6 +14,8 @@ From there:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -24,15 +26,26 @@ from tabsift.functions.columns import col, ratio
 CUT_BUDGET = 65536
 MAX_BUCKETS = 16384
 SAMPLE_FRACTION = 0.02
+COLUMNS_PER_STACK = 100
 
 
 def stacked(df: DataFrame, keys: list[str], columns: dict[str, list[Column]], names: list[str]) -> DataFrame:
-    """Long form: one row per (row, feature), with the given value columns."""
-    args = [arg for feature, values in columns.items() for arg in (F.lit(feature), *values)]
-    long = df.select(*(col(k) for k in keys), F.stack(F.lit(len(columns)), *args).alias("feature", *names))
+    """Long form: one row per (row, feature), with the given value columns.
+
+    Wide tables are stacked some columns at a time, as more would outgrow compiled
+    code; each part reads only its own columns.
+    """
+    def some(part: list[str]) -> DataFrame:
+        args = [arg for feature in part for arg in (F.lit(feature), *columns[feature])]
+        return df.select(*(col(k) for k in keys), F.stack(F.lit(len(part)), *args).alias("feature", *names))
+
+    features = list(columns)
+    parts = [
+        some(features[i : i + COLUMNS_PER_STACK]) for i in range(0, len(features), COLUMNS_PER_STACK)
+    ]
     # Never NULL, but saying so gives all uses of the table, joined or not, the same plan,
     # and with it one shared shuffle.
-    return long.filter(F.col("feature").isNotNull())
+    return reduce(DataFrame.unionByName, parts).filter(F.col("feature").isNotNull())
 
 
 def _number(name: str) -> Column:
@@ -46,7 +59,7 @@ def bucket_cuts(
     """Sampled cut points per column. One job; its result is bounded by CUT_BUDGET."""
     # Four buckets per shuffle task: a cluster set up for more data gets finer cuts.
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(16, min(MAX_BUCKETS, CUT_BUDGET // len(values), max(64, 4 * tasks)))
+    buckets = max(16, min(MAX_BUCKETS, CUT_BUDGET // len(values), max(32, 4 * tasks)))
     probs = [i / buckets for i in range(1, buckets)]
     sample = stacked(
         df.select(*(col(v) for v in values)).sample(fraction=fraction, seed=seed),
