@@ -217,7 +217,7 @@ def align_features(spark, sf):
 
 @query
 def impute_median(spark, sf):
-    rows = splits(spark, sf).raw
+    rows = staged(spark, sf).raw
     return rounded(cleaning.impute_median(rows, ["n_lines", "sum_qty", "avg_disc", "sparse_col"]).select(
         "risk_id", "split", "n_lines", "sum_qty", "avg_disc", "sparse_col"
     ))
@@ -335,14 +335,14 @@ def quality_verdict(spark, sf):
 
 @query
 def pearson_score(spark, sf):
-    rows = cleaning.impute_median(splits(spark, sf).raw.withColumn("all", F.lit("all")), NUMERIC, by="all")
+    rows = cleaning.impute_median(staged(spark, sf).raw.withColumn("all", F.lit("all")), NUMERIC, by="all")
     stats = profile.numeric_moments(rows, NUMERIC, "label")
     return rounded(stats.select("feature", (F.abs("corr") * significance.PEARSON_WEIGHT).alias("score")))
 
 
 @query
 def spearman(spark, sf):
-    return rounded(significance.spearman(splits(spark, sf).filled, NUMERIC, "label"))
+    return rounded(significance.spearman(staged(spark, sf).filled, NUMERIC, "label"))
 
 
 @query
@@ -371,7 +371,7 @@ def mutual_info(spark, sf):
 
 @query
 def significance_filter(spark, sf):
-    rows = splits(spark, sf).filled
+    rows = staged(spark, sf).filled
     return rounded(significance.significance_filter(significance.significance_score(rows, V.RISK), top=8), 4)
 
 
@@ -380,12 +380,12 @@ def significance_filter(spark, sf):
 
 @query
 def psi_train_oot(spark, sf):
-    return rounded(drift.psi(splits(spark, sf).filled, [c for c in NUMERIC if c != "sparse_col"]))
+    return rounded(drift.psi(staged(spark, sf).filled, [c for c in NUMERIC if c != "sparse_col"]))
 
 
 @query
 def numeric_stability(spark, sf):
-    return rounded(drift.numeric_stability(splits(spark, sf).filled, V.RISK).withColumn(
+    return rounded(drift.numeric_stability(staged(spark, sf).filled, V.RISK).withColumn(
         "stability", F.when(F.col("stability") < 1e9, F.col("stability"))
     ))
 
@@ -400,7 +400,7 @@ def categorical_stability(spark, sf):
 
 @query
 def numeric_relationship(spark, sf):
-    return rounded(selection.numeric_relationship(splits(spark, sf).filled, NUMERIC, "label"))
+    return rounded(selection.numeric_relationship(staged(spark, sf).filled, NUMERIC, "label"))
 
 
 @query
@@ -565,7 +565,7 @@ def quantiles_by_month(spark, sf):
 
 @query
 def monthly_psi(spark, sf):
-    parts = splits(spark, sf)
+    parts = staged(spark, sf)
     train = parts.filled.filter(F.col("split") == "train").drop("split")
     names = ["total_price", "acctbal", "sum_qty", "drift_half", "drift_some"]
     return rounded(drift.monthly_psi(train, parts.filled, V.RISK, names))

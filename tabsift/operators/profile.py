@@ -75,7 +75,6 @@ def contingency(df: DataFrame, names: list[str], target: str, by_split: bool = F
         return long.groupBy("feature", "value").agg(
             F.count_if(y == 0).alias("n0"), F.count_if(y == 1).alias("n1")
         )
-    # The totals are sums of the parts, so that all users of the table share one pass.
     parts = long.groupBy("feature", "value").agg(
         *(
             F.count_if((y == c) & (F.col("split") == split)).alias(f"{short}{c}")
