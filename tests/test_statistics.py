@@ -89,7 +89,7 @@ def test_average_precision(spark):
     assert got == pytest.approx(float((t["sum"] / t["sum"].sum() * tp / n).sum()), abs=1e-12)
 
 
-def reference_bins(x, q):
+def pandas_bins(x, q):
     return pd.qcut(x, q=q, labels=False, duplicates="drop")
 
 
@@ -99,7 +99,7 @@ def test_score_bins_equal_qcut(spark, q):
     x = np.where(x > 0, np.round(x, 1), x)
     df = frame(spark, s=x, label=y, day=["2024-02-03"] * len(x), id=range(len(x)))
     got = {r["bin"]: (r["count_population"], r["count_positive"]) for r in evaluation.score_bins(df, ROLES, "s", q).collect()}
-    want = pd.DataFrame({"b": reference_bins(x, q), "y": y}).groupby("b").y.agg(["size", "sum"])
+    want = pd.DataFrame({"b": pandas_bins(x, q), "y": y}).groupby("b").y.agg(["size", "sum"])
     assert got == {int(b): (int(r["size"]), int(r["sum"])) for b, r in want.iterrows()}
 
 
