@@ -46,21 +46,23 @@ select w, t from s where done
 """
 
 #: The same fixpoint for long words, as rows: all places of the least pair at once, the leftmost first where they
-#: overlap. That is the same result if a merge only ever yields pairs of a higher rank, which is checked offline.
+#: overlap. That is the same result unless the merge can yield a pair of a lower rank; such merges (``falls``) are
+#: found offline, and are made at the leftmost place only.
 MERGE_LONG = """
 with recursive s(w, p, t, done) as (
     select w, p, t, false from places
     union all
-    select w, p, case when hit then (best)::int else t end, best is null
+    select w, p, case when hit then best else t end, best is null
     from (
         select w, p, t, best, hit, coalesce(lag(hit) over (partition by w order by p), false) as gone
         from (
-            select w, p, t, best, coalesce(rank = best, false)
+            select w, p, t, best, coalesce(rank = best, false) and (turn = 1 or not falls)
                 and row_number() over (partition by w, rank is not distinct from best, run order by p) % 2 = 1 as hit
             from (
-                select *, place - row_number() over (partition by w, rank is not distinct from best order by p) as run
+                select *, row_number() over (partition by w, rank is not distinct from best order by p) as turn,
+                    place - turn as run
                 from (
-                    select a.*, m.rank, min(m.rank) over (partition by a.w) as best
+                    select a.*, m.rank, m.falls, min(m.rank) over (partition by a.w) as best
                     from (
                         select w, p, t, lead(t) over (partition by w order by p) as n,
                             row_number() over (partition by w order by p) as place
@@ -83,21 +85,19 @@ join vocabulary v on v.id = f.id
 group by w
 """
 
-# Unicode white space.
-WHITE_SPACE = (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
-
-
 def character_classes() -> bytes:
-    """Per code point 0 white space, 1 letter, 2 number, 3 other; compressed, to travel with the tasks."""
-    import regex
+    """Per code point 0 white space, 1 letter, 2 number, 3 other, as the library's own patterns see it; compressed,
+    to travel with the tasks."""
+    import tiktoken
 
+    everything = "".join(chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000)
+    single = {bytes([i]): i for i in range(256)}
     table = np.full(0x110000, 3, np.uint8)
-    points = np.array([i for i in range(0x110000) if not 0xD800 <= i < 0xE000], np.uint32)
-    everything = "".join(map(chr, points.tolist()))
-    for value, pattern in ((1, r"\p{L}+"), (2, r"\p{N}+")):
-        for found in regex.finditer(pattern, everything):
-            table[points[found.start():found.end()]] = value
-    table[list(WHITE_SPACE)] = 0
+    for value, pattern in enumerate((r"\s", r"\p{L}", r"\p{N}")):
+        # Text that a pattern leaves out gives no tokens; a token is a byte here.
+        library = tiktoken.Encoding(f"class{value}", pat_str=pattern, mergeable_ranks=single, special_tokens={})
+        matched = bytes(library.encode_ordinary(everything)).decode()
+        table[np.frombuffer(matched.encode("utf-32-le"), np.uint32)] = value
     return zlib.compress(table.tobytes(), 1)
 
 
@@ -161,11 +161,8 @@ class Ranks:
                     left.append(a), right.append(b), result.append(number)
         self.data = data
         self.merges = np.array([left, right, result], np.int32)
-        single = {rank[bytes([i])] for i in range(256)}
-        #: Merges only build on tokens of lower rank, so no merge yields a pair of a lower rank than its own.
-        self.rising = all(
-            (a < c or a in single) and (b < c or b in single) for a, b, c in zip(left, right, result)
-        )
+        #: Results that are part of a merge of lower rank than their own.
+        self.falling = {part for a, b, c in zip(left, right, result) for part in (a, b) if c < part}
 
 
 class Merger:
@@ -176,9 +173,9 @@ class Merger:
 
         self.rank = {base64.b64decode(a): int(b) for a, b in (x.split() for x in ranks.data.splitlines() if x)}
         self.byte = np.array([self.rank[bytes([i])] for i in range(256)], np.int32)
-        self.long = LONG_WORD if ranks.rising else 1 << 24
         self.database = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
-        self._table("merges", {"l": ranks.merges[0], "r": ranks.merges[1], "rank": ranks.merges[2]})
+        self._table("merges", {"l": ranks.merges[0], "r": ranks.merges[1], "rank": ranks.merges[2],
+                               "falls": np.isin(ranks.merges[2], list(ranks.falling))})
         self._table("vocabulary", {
             "id": np.fromiter(self.rank.values(), np.int32), "hex": pa.array([k.hex() for k in self.rank])})
         self.ids: dict[str, bytes] = {}
@@ -202,7 +199,7 @@ class Merger:
             if raw in self.rank:
                 whole.append((word, self.rank[raw]))
             else:
-                (short if len(raw) <= self.long else long).append((word, raw))
+                (short if len(raw) <= LONG_WORD else long).append((word, raw))
         for at in range(0, len(short), QUERY_WORDS):
             self._merge(short[at:at + QUERY_WORDS], MERGE)
         for pair in long:

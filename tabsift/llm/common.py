@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tabsift.session import scratch_path
 
@@ -23,6 +24,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def nullable(schema: StructType) -> StructType:
+    """The schema with every column nullable: literals alone would not be."""
+    return StructType([StructField(f.name, f.dataType, True) for f in schema.fields])
+
+
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Bound the rows of an Arrow batch for jobs that move whole texts; a smaller setting stays."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

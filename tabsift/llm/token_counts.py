@@ -37,6 +37,8 @@ class UnitRules:
             self.library.encode("a", out_type=str)[0].startswith(SPACE)
         ):
             raise ValueError("the model changes spaces or adds none before the text")
+        if len(self.library.encode("a ")) != len(self.library.encode("a")) + 1:
+            raise ValueError("the model drops a space at the end")
         # A line feed that no piece holds is always a token (or bytes) of its own.
         self.cut_lines = not any("\n" in piece for piece in pieces) and len(self.library.encode("\n")) == 2
         self.units = re.compile(r"\n[^ \n]*| +[^ \n]*" if self.cut_lines else r" +[^ ]*")
@@ -54,7 +56,9 @@ class UnitRules:
         """Tokens of each unit as the library merges it."""
         # The library puts a space before its input: it stands for the unit's first one, or is not counted.
         plain = [u[1:] if u[0] == " " else u for u in units]
-        return [len(ids) - (u[0] != " ") for u, ids in zip(units, self.library.encode(plain, num_threads=1))]
+        # Nothing after the only space: the library would take it for an empty text.
+        return [1 if u == " " else len(ids) - (u[0] != " ")
+                for u, ids in zip(units, self.library.encode(plain, num_threads=1))]
 
 
 def count_tokens(docs: DataFrame, model_path: str, *, text: str = "text", limit: int = 4096) -> DataFrame:
