@@ -14,7 +14,7 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session(
-        "tests", "local[4]",
+        "tests", f"local[{os.environ.get('TEST_CPUS', '4')}]",
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "4g",
