@@ -4,10 +4,11 @@ Suffixes that could be equal are brought together first. Of the 16-byte grams of
 least hash (the leftmost of equals) is its anchor; equal strings have equal anchors at equal places. The strings of a
 document with the same anchor follow each other and are one window. Windows whose anchor occurs nowhere else hold no
 repeats, equal windows are repeats throughout; only windows that share an anchor but differ are cut into blocks
-of a few strings, and blocks with the same bytes common to all their strings meet in one task. There the blocks are
-dealt into two shards. Each gets its suffix array and transform; the transforms are merged by refining the
+of a few strings, and blocks with the same bytes common to all their strings meet in one task. The common bytes
+are the same there, so a short mark stands for them, and only the bytes on either side travel. In the task the blocks
+are dealt into two shards. Each gets its suffix array and transform; the transforms are merged by refining the
 interleave of the two, eight characters a round. A round splits the intervals of suffixes with a common prefix; the
-intervals that are left with two suffixes or more at 200 characters are the repeats. No suffix is sorted again.
+intervals that are left with two suffixes or more at the length of a string are the repeats. No suffix is sorted again.
 """
 
 from __future__ import annotations
@@ -27,9 +28,10 @@ LENGTH, GRAM, STEP = 200, 16, 8
 #: Strings of one block, bytes of blocks merged at once, and text bytes scanned at once.
 BLOCK, LOT_BYTES, CHUNK_BYTES = 24, 1_000_000, 1_000_000
 #: Windows of one anchor above which its strings are counted one by one, so that no group grows with the input.
-CROWD = 4_000
-#: Bytes that UTF-8 never holds: the end of a block, and the ends of the two shards.
-END, LAST = 0xFF, (0xFD, 0xFE)
+#: A block takes about 60 bytes, so fewer windows are a few megabytes.
+CROWD = 50_000
+#: Bytes that UTF-8 never holds: the end of a block, the ends of the two shards, and the mark of common bytes.
+END, LAST, MARK = 0xFF, (0xFD, 0xFE), 0xF5
 
 
 class Scanner:
@@ -210,85 +212,98 @@ def scan_windows(rows: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(run, "anchor long, window long, row long, at long")
 
 
-def packed_rows(rows: DataFrame) -> DataFrame:
-    """(row, packed): compressed texts, for joins."""
+def packed_rows(rows: DataFrame, text: str) -> DataFrame:
+    """The rows with ``text`` compressed, as ``packed``, for joins."""
+    kept = [c for c in rows.columns if c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            packed = [pack.compress(t) for t in _binary(batch, "text")]
+            packed = [pack.compress(t) for t in _binary(batch, text)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(packed, pa.binary())],
-                                             names=[*kept, "packed"])
+                                             names=[*kept, "packed__"])
 
-    kept = [c for c in rows.columns if c != "text"]
-    return rows.mapInArrow(run, rows.select(*kept, F.lit(b"").alias("packed")).schema)
+    return rows.mapInArrow(run, rows.select(*kept, F.lit(b"").alias("packed__")).schema)
+
+
+def mark_of(key: int, block: int) -> bytes:
+    """Stands for the bytes that the strings of a block have in common; fills strings up to whole rounds."""
+    digits, key = [MARK], key % MARK**8
+    for _ in range(8):
+        key, digit = divmod(key, MARK)
+        digits.append(digit)
+    return bytes(digits + [MARK] * (-(block - 1 + len(digits)) % STEP))
 
 
 def cut_blocks(found: DataFrame, length: int, block: int) -> DataFrame:
-    """Blocks (key, content, row, start, many, solved, bytes) of the differing windows of (row, packed, windows).
+    """Blocks (key, row, start, many, solved, left, sides) of the differing windows of (row, packed, windows).
 
     Strings of one block have the anchor at ``block`` neighbouring places; key stands for the anchor and the bytes
-    that all of them share. Crowded anchors give one string per block, of which the hash is enough.
+    that all of them share, sides are the bytes to the left and right of those, the first ``left`` to the left.
+    Crowded anchors give one string per block: the key alone stands for it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         digest = xxhash.xxh3_64_intdigest
-        signed = lambda x: x - (1 << 64) if x >> 63 else x
+        names = ["key", "row", "start", "many", "solved", "left", "sides"]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int32(), pa.binary()]
         out: list[tuple] = []
 
         def flush() -> pa.RecordBatch:
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
-                                              names=["key", "content", "row", "start", "many", "solved", "bytes"])
+            made = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
+            out.clear()
+            return made
 
         for batch in batches:
-            for row, packed, windows in zip(*(batch.column(c).to_pylist() for c in ("row", "packed", "windows"))):
+            for row, packed, windows in zip(*(batch.column(c).to_pylist() for c in ("row", "packed__", "windows"))):
                 text = unpack.decompress(packed)
                 for w in windows:
-                    at, stop, place = w["start"], w["start"] + w["many"], w["place"]
-                    anchor = at + place
+                    at, stop = w["start"], w["start"] + w["many"]
+                    anchor, solved = at + w["place"], w["solved"]
                     step = 1 if w["crowded"] else block
                     while at < stop:
                         group = (anchor - at) // step  # strings with the anchor at group * step ... + step - 1
-                        end = min(stop, anchor - group * step + 1)
-                        core = text[anchor - group * step:anchor - group * step - step + 1 + length]
-                        key = signed(digest(core, seed=group + step * 1000))
-                        body = text[at:end + length - 1]
-                        content = signed(digest(body, seed=anchor - at))
-                        out.append((key, content, row, at, end - at, w["solved"], None if step == 1 else body))
+                        begin = anchor - group * step
+                        end, upto = min(stop, begin + 1), begin - step + 1 + length
+                        key = digest(text[begin:upto], seed=group + step * 1000)
+                        sides = None if step == 1 else text[at:begin] + text[upto:end + length - 1]
+                        out.append((key - (1 << 63), row, at, end - at, solved, begin - at, sides))
                         at = end
                     if len(out) >= 4000:
                         yield flush()
-                        out.clear()
         if out:
             yield flush()
 
-    return found.select("row", "packed", "windows").mapInArrow(
-        run, "key long, content long, row long, start int, many int, solved boolean, bytes binary")
+    return found.select("row", "packed__", "windows").mapInArrow(
+        run, "key long, row long, start int, many int, solved boolean, left int, sides binary")
 
 
-def compare_blocks(blocks: DataFrame, length: int, lot_bytes: int) -> DataFrame:
+def compare_blocks(blocks: DataFrame, block: int, lot_bytes: int) -> DataFrame:
     """(row, start, many, mask): the strings of each block that are repeated, as bits from its first string on."""
+    names = ["key", "row", "start", "many", "solved", "left", "sides"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups: list[dict[int, list]] = []  # differing blocks by content: [bytes, strings, repeated, open rows]
+        # Differing blocks of a key, by their sides: [key, strings, repeated, open rows].
+        groups: list[dict[tuple, list]] = []
         held = 0
         out: list[tuple] = []
 
         def settle() -> None:
-            flat = [entry for group in groups for entry in group.values()]
-            for entry, starts in zip(flat, repeated_starts([e[0] for e in flat], length)):
+            flat = [(side, entry) for group in groups for side, entry in group.items()]
+            short = [side[1][:side[0]] + mark_of(entry[0], block) + side[1][side[0]:] for side, entry in flat]
+            length = block - 1 + len(mark_of(0, block))
+            for (_, entry), starts in zip(flat, repeated_starts(short, length)):
                 mask = (1 << entry[1]) - 1 if entry[2] else sum(1 << int(s) for s in starts)
                 if mask:
                     out.extend((row, start, entry[1], mask) for row, start in entry[3])
             groups.clear()
 
-        def close(group: dict[int, list]) -> int:
+        def close(group: dict[tuple, list]) -> int:
             """Settle a group of equal blocks at once, keep one of differing blocks for the merge."""
             if len(group) > 1:
                 groups.append(group)
-                return sum(len(e[0]) for e in group.values())
+                return sum(len(side[1]) + 16 for side in group)
             for entry in group.values():
                 if entry[2]:
                     out.extend((row, start, entry[1], (1 << entry[1]) - 1) for row, start in entry[3])
@@ -302,19 +317,28 @@ def compare_blocks(blocks: DataFrame, length: int, lot_bytes: int) -> DataFrame:
             out.clear()
             return made
 
-        last, group = None, {}
+        last, group, alone = None, {}, None
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("key", "content", "row", "start", "many", "solved", "bytes"))
-            for key, content, row, start, many, solved, body in zip(*columns):
+            for key, row, start, many, solved, left, sides in zip(*(batch.column(c).to_pylist() for c in names)):
                 if key != last:
                     held += close(group)
-                    last, group = key, {}
+                    last, group, alone = key, {}, None
                     if held >= lot_bytes:
                         settle()
                         held = 0
-                entry = group.get(content)
+                if sides is None:  # one string of a crowd: rows go on as they come, from the second on
+                    if alone is None:
+                        alone = (row, start, solved)
+                        continue
+                    if alone and not alone[2]:
+                        out.append((alone[0], alone[1], 1, 1))
+                    alone = ()
+                    if not solved:
+                        out.append((row, start, 1, 1))
+                    continue
+                entry = group.get((left, sides, many))
                 if entry is None:
-                    entry = group[content] = [body, many, solved, []]
+                    entry = group[left, sides, many] = [key, many, solved, []]
                 else:  # the same block again
                     entry[2] = True
                 if not solved:
@@ -325,7 +349,7 @@ def compare_blocks(blocks: DataFrame, length: int, lot_bytes: int) -> DataFrame:
             settle()
         yield flush()
 
-    dealt = blocks.repartition("key").sortWithinPartitions("key", "content")
+    dealt = blocks.repartition("key").sortWithinPartitions("key")
     return dealt.mapInArrow(run, "row long, start int, many int, mask int")
 
 
@@ -339,15 +363,17 @@ def remove_repeats(
     one and overlapping itself; no string crosses documents. All strings are judged on the input. n_spans counts
     the maximal runs removed; kept is the rest, one after the other, which may cut a character. Null and empty texts
     have 0 bytes, and texts below ``length`` lose none. Repeated rows are documents of their own: they lose what
-    they share. An empty table gives no rows. Equality of whole windows is that of two 64-bit hashes.
+    they share. An empty table gives no rows. Equality of whole windows and of common bytes is that of 64-bit hashes.
     """
     if length % STEP or not block + GRAM < length < 4096 or block > 30:
         raise ValueError("length must be a multiple of 8, below 4096 and well above a block of up to 30 strings")
     small_batches(docs.sparkSession)
     # Rows of equal id and text share a number; they also share their windows and what they lose.
-    source = docs.select(F.xxhash64(id_col, text).alias("row"), F.col(id_col).alias("id"),
-                         F.coalesce(F.col(text), F.lit("")).alias("text"), *keep)
-    rows = scan_windows(source.select("row", "text"), length)
+    keep = tuple(c for c in keep if c not in (id_col, text, "n_bytes", "n_removed", "n_spans", "kept"))
+    source = docs.select(F.xxhash64(id_col, text).alias("row__"), F.col(id_col).alias("id__"),
+                         F.coalesce(F.col(text), F.lit("")).alias("text__"), *keep)
+    plain = source.select(F.col("row__").alias("row"), F.col("text__").alias("text"))
+    rows = scan_windows(plain, length)
     # One order serves all the counts below.
     rows = rows.repartition("anchor").sortWithinPartitions("anchor", "window", "row", "at")
     by_anchor = Window.partitionBy("anchor")
@@ -366,23 +392,18 @@ def remove_repeats(
     # Of equal windows one stands for all where they are compared with others.
     windows = judged.where("compare").groupBy("row").agg(
         F.collect_list(F.struct("start", "many", "place", "solved", "crowded")).alias("windows"))
-    packed = packed_rows(source.select("row", "text"))
-    blocks = staged(cut_blocks(packed.join(windows, "row"), length, block), "repeat-blocks")
-    compared = compare_blocks(blocks.where("bytes is not null"), length, lot_bytes)
-    single = blocks.where("bytes is null").select("key", "content", "row", "start", "solved")
-    often = single.groupBy("key", "content").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    counted = single.where("not solved").join(often, ["key", "content"]).select(
-        "row", "start", F.lit(1).alias("many"), F.lit(1).alias("mask"))
+    packed = packed_rows(plain, "text")
+    compared = compare_blocks(cut_blocks(packed.join(windows, "row"), length, block), block, lot_bytes)
     solved = judged.where("solved").select("row", "start", "many", F.lit(-1).alias("mask"))
-    spans = solved.union(compared).union(counted).groupBy("row").agg(
-        F.collect_list(F.struct("start", "many", "mask")).alias("spans"))
-    texts = packed_rows(source.select("row", "id", *keep, "text")).join(spans, "row", "left")
+    spans = solved.union(compared).groupBy("row").agg(
+        F.collect_list(F.struct("start", "many", "mask")).alias("spans__")).withColumnRenamed("row", "row__")
+    texts = packed_rows(source, "text__").join(spans, "row__", "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             out: list[list] = [[], [], [], []]
-            for body, found in zip(batch.column("packed").to_pylist(), batch.column("spans").to_pylist()):
+            for body, found in zip(batch.column("packed__").to_pylist(), batch.column("spans__").to_pylist()):
                 raw = unpack.decompress(body)
                 removed = n_spans = 0
                 if found:
@@ -404,11 +425,11 @@ def remove_repeats(
                 out[2].append(n_spans)
                 out[3].append(kept if found else raw)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), *(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.binary()),
+                [batch.column("id__"), *(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.binary()),
                  *(batch.column(c) for c in keep)], names=names)
 
     names = [id_col, "n_bytes", "n_removed", "n_spans", "kept", *keep]
     number = F.lit(0).cast("long")
-    schema = source.select(F.col("id").alias(id_col), number.alias("n_bytes"), number.alias("n_removed"),
+    schema = source.select(F.col("id__").alias(id_col), number.alias("n_bytes"), number.alias("n_removed"),
                            number.alias("n_spans"), F.lit(b"").alias("kept"), *keep).schema
     return texts.mapInArrow(cut, schema)
