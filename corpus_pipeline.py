@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tabsift.llm import byte_bpe, mixing, quality, repeats, set_join
 from tabsift.llm.common import staged
 
-KEY = "row__"
+KEY, REST = "document_row", "document_rest"
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -40,11 +40,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents without the strings of 200 bytes that occur more than once; cut characters go as well."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    left = repeats.remove_repeats(docs, keep=others)
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    packed = docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in others)).alias(REST))
+    left = repeats.remove_repeats(packed, keep=(REST,))
     raw = F.col("kept").cast("string")
     whole = F.when(F.is_valid_utf8(raw), raw).otherwise(F.translate(F.make_valid_utf8(raw), "�", ""))
-    changed = left.withColumn("text", whole).withColumn("n_chars", F.length("text").cast("long"))
+    changed = left.select("doc_id", whole.alias("text"), f"{REST}.*").withColumn("n_chars", F.length("text").cast("long"))
     return changed.select(*docs.columns)
 
 
