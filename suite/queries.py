@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from suite import views as V
 from tabsift.functions.columns import linear_probs
@@ -73,7 +74,7 @@ def table_scan(spark, sf):
 
 @query
 def first_columns(spark, sf):
-    return read_columns(spark, f"{sf}/lineitem.parquet", 4)
+    return read_columns(spark, f"{sf}/lineitem.parquet", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"])
 
 
 @query
@@ -97,6 +98,12 @@ def narrow_types(spark, sf):
     return rounded(cleaning.narrow_plan(V.table(spark, sf, "lineitem")))
 
 
+@query
+def narrow_cast(spark, sf):
+    cast = cleaning.narrow_types(V.table(spark, sf, "lineitem"))
+    return table_info(cast).select("column_name", "dtype", "n_rows")
+
+
 @query
 def selection_report(spark, sf):
     parts = staged(spark, sf)
@@ -218,9 +225,7 @@ def align_features(spark, sf):
 @query
 def impute_median(spark, sf):
     rows = staged(spark, sf).raw
-    return rounded(cleaning.impute_median(rows, ["n_lines", "sum_qty", "avg_disc", "sparse_col"]).select(
-        "risk_id", "split", "n_lines", "sum_qty", "avg_disc", "sparse_col"
-    ))
+    return rounded(cleaning.impute_median(rows, NUMERIC).select("risk_id", "split", *NUMERIC))
 
 
 @query
@@ -380,7 +385,7 @@ def significance_filter(spark, sf):
 
 @query
 def psi_train_oot(spark, sf):
-    return rounded(drift.psi(staged(spark, sf).filled, [c for c in NUMERIC if c != "sparse_col"]))
+    return rounded(drift.psi(staged(spark, sf).filled, NUMERIC))
 
 
 @query
@@ -443,8 +448,25 @@ def quick_filter(spark, sf):
 
 @query
 def forest_importance(spark, sf):
-    names = ["total_price", "acctbal", "n_lines", "sum_qty", "avg_disc", *TEXT]
-    return selection.forest_importance(splits(spark, sf).filled, names, "label")
+    return selection.forest_importance(splits(spark, sf).filled, [*NUMERIC, *TEXT], "label")
+
+
+@query
+def forest_facts(spark, sf):
+    """What holds for any forest: importances of all features sum to 1, a planted feature is first."""
+    return _facts(forest_importance(spark, sf))
+
+
+@query
+def boosted_facts(spark, sf):
+    return _facts(boosted_importance(spark, sf).filter("importance > 0")).drop("n_features")
+
+
+def _facts(found):
+    planted = F.max_by("feature", "importance").isin("total_price", "seg_signal", "drift_up", "drift_some", "drift_half")
+    return found.agg(
+        F.count(F.lit(1)).alias("n_features"), (F.round(F.sum("importance"), 6) == 1.0).alias("sum_is_one"),
+        planted.alias("planted_first"))
 
 
 @query
@@ -472,8 +494,7 @@ def class_weights(spark, sf):
 
 def _leader(spark, sf, models=2, folds=3, early_stop=False):
     rows = splits(spark, sf).filled
-    features = ["total_price", "acctbal", "sum_qty", "seg_signal"]
-    return rows, training.train_leader(rows, V.RISK, features, "AUCPR", models, folds, early_stop=early_stop)
+    return rows, training.train_leader(rows, V.RISK, [*NUMERIC, *TEXT], "AUCPR", models, folds, early_stop=early_stop)
 
 
 @query
@@ -486,6 +507,22 @@ def early_stop(spark, sf):
     return _leader(spark, sf, models=1, folds=0, early_stop=True)[1].leaderboard
 
 
+@query
+def leader_facts(spark, sf):
+    """What holds for any leaderboard: every model once, places by falling score, better than chance; early stopping
+    works with folds and without."""
+    out = None
+    for folds in (0, 3):
+        board = _leader(spark, sf, models=3 if not folds else 1, folds=folds, early_stop=True)[1].leaderboard
+        order = Window.orderBy("place")
+        marked = board.withColumn("falls", F.coalesce(F.lag("score").over(order) >= F.col("score"), F.lit(True)))
+        facts = marked.agg(
+            F.lit(folds).alias("folds"), F.count_distinct("model").alias("models"), F.every("falls").alias("in_order"),
+            (F.min("score") > 0.5).alias("better_than_chance"))
+        out = facts if out is None else out.unionByName(facts)
+    return out
+
+
 @query
 def average_precision(spark, sf):
     return rounded(evaluation.average_precision_by(V.scored_lines(spark, sf), "score", "label"))
@@ -503,6 +540,68 @@ def generalisation_gap(spark, sf):
     return rounded(training.generalisation_gap(evaluation.auc(rows, "score", "label", ["split"])))
 
 
+def _logistic(rows, features):
+    """A logistic model of number features, for scores that plain arithmetic can repeat."""
+    named = [("logistic_regression", m) for n, m in training.candidates() if n == "logistic_regression"]
+    ready = training.training_rows(rows, V.RISK, features, 0, 42)
+    model = Pipeline(stages=[*training.feature_stages(ready, features), named[0][1]]).fit(ready)
+    return training.Leader("logistic_regression", model, features, rows.sparkSession.createDataFrame([(1, "x")], "place int, model string"))
+
+
+def _agrees(scored, inputs, leader, keys):
+    """Whether each score is what the coefficients give on the prepared features."""
+    fitted = leader.model.stages[-1]
+    margin = F.lit(float(fitted.intercept))
+    for name, weight in zip(leader.features, fitted.coefficients):
+        value = F.when(F.isnan(F.col(name).cast("double")) | F.col(name).isNull(), F.lit(-999999.0)).otherwise(F.col(name).cast("double"))
+        margin = margin + value * F.lit(float(weight))
+    wanted = inputs.select(*keys, (1.0 / (1.0 + F.exp(-margin))).alias("wanted"))
+    near = F.abs(F.col("score") - F.col("wanted")) < 1e-9
+    return scored.join(wanted, keys).withColumn("agrees", F.coalesce(near, F.lit(False))).drop("score", "wanted")
+
+
+def _with_gaps(rows, key, name):
+    """Some values NULL, some NaN: both are missing."""
+    return rows.withColumn(name, F.when(F.col(key) % 7 == 0, F.lit(None)).when(F.col(key) % 11 == 0, F.lit(float("nan"))).otherwise(F.col(name)))
+
+
+PLAIN = ["total_price", "acctbal", "sum_qty", "avg_disc"]
+
+
+@query
+def batch_scores_agree(spark, sf):
+    parts = splits(spark, sf)
+    leader = _logistic(parts.filled, PLAIN)
+    rows = _with_gaps(parts.raw, "risk_id", "acctbal")
+    return _agrees(score_batch(rows, leader.model, PLAIN, ["risk_id", "split"]), rows, leader, ["risk_id", "split"])
+
+
+@query
+def saved_scores_agree(spark, sf):
+    rows = splits(spark, sf).filled
+    leader = _logistic(rows, PLAIN)
+    path = scratch_path(spark, "model")
+    training.save_model(leader, path)
+    model, features = training.load_model(spark, path)
+    return _agrees(score_batch(rows, model, features, ["risk_id"]), rows, leader, ["risk_id"])
+
+
+@query
+def stream_scores_agree(spark, sf):
+    """A stream with NULL and NaN values, stopped after its first files and resumed."""
+    parts = splits(spark, sf)
+    leader = _logistic(parts.filled, PLAIN)
+    rows = _with_gaps(parts.raw.select("risk_id", *PLAIN), "risk_id", "acctbal")
+    path = scratch_path(spark, "stream")
+    rows.filter("risk_id % 2 = 0").write.mode("append").parquet(f"{path}/in")
+    for even in (True, False):
+        if not even:
+            rows.filter("risk_id % 2 <> 0").write.mode("append").parquet(f"{path}/in")
+        stream = read_stream(spark, f"{path}/in", rows.schema)
+        seen = run_available(score_stream(stream, leader.model, PLAIN, ["risk_id"]), "scores", path=f"{path}/out")
+    return _agrees(seen, rows, leader, ["risk_id"])
+
+
 @query
 def saved_model_scores(spark, sf):
     rows, leader = _leader(spark, sf, models=1, folds=0)
@@ -548,12 +647,12 @@ def early_vs_latest(spark, sf):
 
 @query
 def score_bins(spark, sf):
-    return rounded(evaluation.score_bins(V.scored_lines(spark, sf), V.LINES, "score"), 9)
+    return rounded(evaluation.score_bins(V.gappy_lines(spark, sf), V.LINES, "score"), 9)
 
 
 @query
 def feature_bins(spark, sf):
-    return rounded(evaluation.feature_bins(V.scored_lines(spark, sf), V.LINES))
+    return rounded(evaluation.feature_bins(V.risk_orders(spark, sf), V.RISK).drop("score_min", "score_max", "score_mean"))
 
 
 @query
@@ -567,8 +666,7 @@ def quantiles_by_month(spark, sf):
 def monthly_psi(spark, sf):
     parts = staged(spark, sf)
     train = parts.filled.filter(F.col("split") == "train").drop("split")
-    names = ["total_price", "acctbal", "sum_qty", "drift_half", "drift_some"]
-    return rounded(drift.monthly_psi(train, parts.filled, V.RISK, names))
+    return rounded(drift.monthly_psi(train, parts.filled, V.RISK, NUMERIC))
 
 
 @query
@@ -643,10 +741,10 @@ def stream_scores(spark, sf):
 @query
 def stream_monitor(spark, sf):
     stream = read_stream(spark, f"{sf}/events.parquet*", V.table(spark, sf, "events").schema).select(
-        "ts", F.col("value").alias("score"), F.when(F.col("event_type") == "purchase", 1).otherwise(0).alias("label")
+        "ts", F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("score"), F.when(F.col("event_type") == "purchase", 1).otherwise(0).alias("label")
     )
     seen = run_available(
-        monitor_stream(stream, "ts", "score", "label", [0.0, 10.0, 25.0, 50.0, 100.0, 1000.0], "1 day"),
+        monitor_stream(stream, "ts", "score", "label", [5.0, 10.0, 25.0, 50.0, 100.0], "1 day"),
         "stream_monitor", "complete",
     )
     spelled = [F.date_format(c, "yyyy-MM-dd HH:mm").alias(c) for c in ("window_start", "window_end")]

@@ -78,6 +78,12 @@ def scored_lines(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def gappy_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The scored lines, every seventh order without a score."""
+    lines = scored_lines(spark, sf)
+    return lines.withColumn("score", F.when(F.col("l_orderkey") % 7 != 0, F.col("score")))
+
+
 def scored_months(spark: SparkSession, sf: str) -> DataFrame:
     return scored_lines(spark, sf).withColumn("month", month_of("partition_date"))
 

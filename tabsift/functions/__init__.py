@@ -1,7 +1,6 @@
 from tabsift.functions.columns import (
     closed_right_bin,
     linear_probs,
-    percent,
     pearson,
     ratio,
     round_half_even,
@@ -14,7 +13,6 @@ __all__ = [
     "f_sf",
     "linear_probs",
     "pearson",
-    "percent",
     "ratio",
     "round_half_even",
 ]

@@ -16,11 +16,6 @@ def ratio(top: Column, bottom: Column) -> Column:
     return F.try_divide(top, bottom)
 
 
-def percent(part: Column, whole: Column) -> Column:
-    """Share in percent to two places."""
-    return F.round(ratio(part.cast("double"), whole.cast("double")) * 100.0, 2)
-
-
 def pearson(x: Column, y: Column) -> Column:
     """Pearson correlation over rows with both present; NULL for a constant side.
 
@@ -46,11 +41,13 @@ def linear_probs(bins: int) -> list[float]:
 def closed_right_bin(x: Column, edges: Column, most: int) -> Column:
     """0-based bin in [e0,e1], (e1,e2], ...; NULL when there are fewer than two edges.
 
-    ``edges`` is a sorted array of distinct values, at most ``most`` of them. A sum
-    of comparisons is compiled; a higher-order filter() would not be.
+    A missing value (NULL or NaN) has no bin (NULL), one below the first edge has bin -1, and one above the last
+    edge the number of the bin after the last. ``edges`` is a sorted array of distinct values, at most ``most`` of
+    them. A sum of comparisons is compiled; a higher-order filter() would not be.
     """
     below = reduce(
         lambda a, b: a + b,
         (F.when(F.get(edges, F.lit(i)) < x, 1).otherwise(0) for i in range(most)),
     )
-    return F.when(F.size(edges) >= 2, F.greatest(below, F.lit(1)) - 1)
+    inside = F.when(x < F.get(edges, F.lit(0)), -1).otherwise(F.greatest(below, F.lit(1)) - 1)
+    return F.when((F.size(edges) >= 2) & x.isNotNull() & ~F.isnan(x.cast("double")), inside)

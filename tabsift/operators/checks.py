@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tabsift.functions.columns import col
+from tabsift.operators.cleaning import COLUMNS_PER_AGGREGATE
 from tabsift.roles import Roles, Windows, date_bound, month_of
 
 CHECK_SCHEMA = "check string, severity string, ok boolean, observed string, expected string"
@@ -125,17 +126,23 @@ def require(checks: DataFrame) -> list:
 
 
 def null_profile(df: DataFrame) -> DataFrame:
-    """Missing values per column, one scan, one output row per column."""
-    counts = df.agg(
-        F.count(F.lit(1)).alias("__rows"), *(F.count(col(c)).alias(c) for c in df.columns)
-    )
-    rows = F.array(
-        *(
-            F.struct(F.lit(c).alias("column_name"), (F.col("__rows") - col(c)).alias("n_null"))
-            for c in df.columns
+    """Missing values per column, one output row per column. A hundred columns share an aggregate, which reads only
+    those; more would outgrow compiled code."""
+    def some(part: list[str]) -> DataFrame:
+        counts = df.agg(
+            F.count(F.lit(1)).alias("__rows"), *(F.count(col(c)).alias(f"c{i}") for i, c in enumerate(part))
         )
-    )
-    return counts.select(F.inline(rows))
+        rows = F.array(
+            *(
+                F.struct(F.lit(c).alias("column_name"), (F.col("__rows") - F.col(f"c{i}")).alias("n_null"))
+                for i, c in enumerate(part)
+            )
+        )
+        return counts.select(F.inline(rows))
+
+    names = df.columns
+    return reduce(DataFrame.unionByName, (
+        some(names[i : i + COLUMNS_PER_AGGREGATE]) for i in range(0, len(names), COLUMNS_PER_AGGREGATE)))
 
 
 def value_counts(df: DataFrame, name: str) -> DataFrame:

@@ -15,9 +15,6 @@ from tabsift.session import cut_lineage
 SENTINEL = -999999
 MISSING_TEXT = "missing"
 
-# Tables of this many columns and more are not rounded.
-ROUND_BELOW_COLUMNS = 1000
-
 # Integer types from narrow to wide with their bounds.
 INTEGER_RANGES = [
     ("tinyint", -(2**7), 2**7 - 1),
@@ -26,6 +23,9 @@ INTEGER_RANGES = [
 ]
 FLOAT_MAX = 3.4028234663852886e38
 COLUMNS_PER_AGGREGATE = 100
+# Codes of one column that are sent to all tasks, and parts a value's rows are dealt into beyond that.
+SMALL_CODES = 20_000
+SALTS = 16
 
 
 def select_roles(df: DataFrame, roles: Roles) -> DataFrame:
@@ -90,7 +90,10 @@ def drop_constant(df: DataFrame, roles: Roles) -> DataFrame:
 
 
 def _filled(df: DataFrame, name: str) -> Column:
+    """The column without missing values; NaN counts as missing, as in tables that were read and cleaned."""
     kind = df.schema[name].dataType
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.coalesce(F.nullif(col(name), F.lit(float("nan")).cast(kind)), F.lit(SENTINEL).cast(kind))
     if isinstance(kind, T.StringType):
         return F.coalesce(col(name), F.lit(MISSING_TEXT))
     if isinstance(kind, (T.ByteType, T.ShortType)):
@@ -107,9 +110,7 @@ def fill_sentinel(df: DataFrame, roles: Roles) -> DataFrame:
 
 
 def round_features(df: DataFrame, roles: Roles, places: int = 2) -> DataFrame:
-    """Round float features, unless the table is very wide."""
-    if len(df.columns) >= ROUND_BELOW_COLUMNS:
-        return df
+    """Round float features."""
     floats = {
         c for c in roles.numeric(df)
         if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))
@@ -134,11 +135,6 @@ def narrow_plan(df: DataFrame, names: list[str] | None = None) -> DataFrame:
         if isinstance(f.dataType, (T.IntegralType, T.FloatType, T.DoubleType))
         and (names is None or f.name in names)
     ]
-    aggs = df.agg(
-        *(F.struct(F.min(col(f.name)).alias("lo"), F.max(col(f.name)).alias("hi")).alias(f"c{i}")
-          for i, f in enumerate(numeric))
-    )
-
     def target(i: int, kind: T.DataType) -> Column:
         lo, hi = F.col(f"c{i}.lo"), F.col(f"c{i}.hi")
         if isinstance(kind, (T.FloatType, T.DoubleType)):
@@ -150,19 +146,30 @@ def narrow_plan(df: DataFrame, names: list[str] | None = None) -> DataFrame:
                 best = F.when((lo > low) & (hi < high), name).otherwise(best)
         return best
 
-    rows = F.array(
-        *(
-            F.struct(
-                F.lit(f.name).alias("column_name"),
-                F.lit(f.dataType.simpleString()).alias("from_type"),
-                F.col(f"c{i}.lo").cast("double").alias("min_value"),
-                F.col(f"c{i}.hi").cast("double").alias("max_value"),
-                target(i, f.dataType).alias("to_type"),
+    def some(part: list[T.StructField]) -> DataFrame:
+        aggs = df.agg(
+            *(F.struct(F.min(col(f.name)).alias("lo"), F.max(col(f.name)).alias("hi")).alias(f"c{i}")
+              for i, f in enumerate(part))
+        )
+        rows = F.array(
+            *(
+                F.struct(
+                    F.lit(f.name).alias("column_name"),
+                    F.lit(f.dataType.simpleString()).alias("from_type"),
+                    F.col(f"c{i}.lo").cast("double").alias("min_value"),
+                    F.col(f"c{i}.hi").cast("double").alias("max_value"),
+                    target(i, f.dataType).alias("to_type"),
+                )
+                for i, f in enumerate(part)
             )
-            for i, f in enumerate(numeric)
         )
-    )
-    return aggs.select(F.inline(rows))
+        return aggs.select(F.inline(rows))
+
+    if not numeric:
+        return df.sparkSession.createDataFrame(
+            [], "column_name string, from_type string, min_value double, max_value double, to_type string")
+    parts = [some(numeric[i : i + COLUMNS_PER_AGGREGATE]) for i in range(0, len(numeric), COLUMNS_PER_AGGREGATE)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def narrow_types(df: DataFrame, names: list[str] | None = None) -> DataFrame:
@@ -186,7 +193,7 @@ def align_features(df: DataFrame, features: list[str], keep: list[str] | None =
 def impute_median(df: DataFrame, names: list[str], by: str = "split") -> DataFrame:
     """Nulls become the exact median of the same column and group.
 
-    The medians are one row per group, so the join is a broadcast.
+    The medians are one row per group; Spark picks the join by their measured size, as groups are the caller's.
     """
     medians = exact_quantiles(df, [by], names, [0.5])
     wide = medians.groupBy(by).agg(
@@ -196,7 +203,7 @@ def impute_median(df: DataFrame, names: list[str], by: str = "split") -> DataFra
         )
     )
     at = {c: i for i, c in enumerate(names)}
-    joined = df.join(F.broadcast(wide), by, "left")
+    joined = df.join(wide, by, "left")
     return joined.select(
         *(
             F.coalesce(col(c).cast("double"), F.col(f"__m{at[c]}")).alias(c) if c in at else col(c)
@@ -230,21 +237,32 @@ def category_codes(df: DataFrame, names: list[str]) -> DataFrame:
     )
     # One row per (feature, file): bounded by columns and files, not by rows.
     return kept.join(F.broadcast(starts), ["feature", "part"]).select(
-        "feature", "value", (F.col("start") + F.col("place")).cast("int").alias("code")
+        "feature", "value", (F.col("start") + F.col("place")).alias("code")
     )
 
 
-def factorize(df: DataFrame, names: list[str]) -> DataFrame:
+def factorize(df: DataFrame, names: list[str], small: int = SMALL_CODES, salts: int = SALTS) -> DataFrame:
     """Replace text columns by their codes.
 
-    A column's codes may be many, so the join strategy is left to the sizes
-    Spark measures; its skew handling splits a value with very many rows.
+    The codes of a column are counted first. Up to ``small`` of them are sent to the rows, which then stay where
+    they are. More are joined on the value and a salt, so that a value with very many rows is dealt out.
     """
+    if not names:
+        return df
     codes = category_codes(df, names)
+    many = {r["feature"]: r["count"] for r in codes.groupBy("feature").count().collect()}
     out = df
     for c in names:
         mine = codes.filter(F.col("feature") == c).select(
             F.col("value").alias(f"__v_{c}"), F.col("code").alias(f"__c_{c}")
         )
-        out = out.join(mine, F.coalesce(out[c], F.lit(MISSING_TEXT)) == F.col(f"__v_{c}"), "left")
-    return out.select(*(F.col(f"__c_{c}").alias(c) if c in names else F.col(c) for c in df.columns))
+        value = F.coalesce(col(c), F.lit(MISSING_TEXT))
+        if many.get(c, 0) <= small:
+            out = out.join(F.broadcast(mine), value == F.col(f"__v_{c}"), "left")
+        else:
+            # The salt hangs on the other columns of the row, so that a task run again deals alike.
+            rest = [col(x) for x in df.columns if x != c]
+            salt = F.pmod(F.xxhash64(*rest), F.lit(salts)) if rest else F.lit(0)
+            spread = mine.withColumn(f"__s_{c}", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
+            out = out.join(spread, (value == F.col(f"__v_{c}")) & (salt == F.col(f"__s_{c}")), "left")
+    return out.select(*(F.col(f"__c_{c}").alias(c) if c in names else col(c) for c in df.columns))

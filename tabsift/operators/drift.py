@@ -22,10 +22,10 @@ PSI_CAP = 10.0
 STABLE_PSI = 0.4
 UNSTABLE_PSI = 1.0
 MODERATE_MIN_CORR = 0.05
-CATEGORIES = (2, 50)
+MIN_CATEGORIES = 2
 STABLE_P = 0.01
 MIN_MI = 0.05
-# Fixed value: smallest month that is compared.
+# Smallest month that is compared, unless the caller names another size.
 MIN_MONTH_ROWS = 50
 
 INFINITE = float("inf")
@@ -157,8 +157,12 @@ def aligned_categories(table: DataFrame) -> DataFrame:
     )
 
 
-def categorical_stability(split: DataFrame, roles: Roles, names: list[str] | None = None, use_oot_labels: bool = True) -> DataFrame:
-    """Stable text features: shares alike in both splits, or informative about the target.
+def categorical_stability(
+    split: DataFrame, roles: Roles, names: list[str] | None = None, use_oot_labels: bool = True,
+    max_categories: int | None = None,
+) -> DataFrame:
+    """Stable text features: shares alike in both splits, or informative about the target; none of more than
+    ``max_categories`` categories, if given.
 
     ``feature, n_categories, chi2, dof, stability, mi, keep``. The test is for equal
     category shares in the two splits, whatever their sizes.
@@ -169,8 +173,10 @@ def categorical_stability(split: DataFrame, roles: Roles, names: list[str] | Non
     test = chi2_two_columns(both, F.col("train"), F.col("oot"), yates=False)
     used = ("n0", "n1") if use_oot_labels else ("t0", "t1")
     mi = mutual_information(table, *(F.col(c) for c in used))
-    low, high = CATEGORIES
-    keep = F.col("n_categories").between(low, high) & (
+    fits = F.col("n_categories") >= MIN_CATEGORIES
+    if max_categories is not None:
+        fits = fits & (F.col("n_categories") <= max_categories)
+    keep = fits & (
         (F.col("p") > STABLE_P) | (F.col("p").isNotNull() & (F.col("mi") > MIN_MI))
     )
     return test.join(F.broadcast(mi), "feature").select(
@@ -186,8 +192,9 @@ def monthly_psi(
     names: list[str] | None = None,
     months: int | None = None,
     bins: int = BINS,
+    min_rows: int = MIN_MONTH_ROWS,
 ) -> DataFrame:
-    """Index of each numeric feature, training rows against each month.
+    """Index of each numeric feature, training rows against each month; none for months below ``min_rows``.
 
     ``month, feature, samples, psi, error``. All features and months unless limited.
     One job covers all months; the edges and the training counts are one row per feature.
@@ -207,7 +214,7 @@ def monthly_psi(
     if months is not None:
         sizes = sizes.orderBy("month").limit(months)
     listed = sizes.withColumn("feature", F.explode(F.array(*(F.lit(c) for c in names))))
-    small = F.col("samples") < MIN_MONTH_ROWS
+    small = F.col("samples") < min_rows
     joined = listed.join(actual, ["month", "feature"], "left").join(F.broadcast(expected), "feature", "left")
     return _with_psi(joined, edges, 0.0).select(
         "month", "feature", "samples",
@@ -216,7 +223,9 @@ def monthly_psi(
     )
 
 
-def monthly_category_psi(train: DataFrame, population: DataFrame, roles: Roles, names: list[str] | None = None) -> DataFrame:
+def monthly_category_psi(
+    train: DataFrame, population: DataFrame, roles: Roles, names: list[str] | None = None, min_rows: int = MIN_MONTH_ROWS
+) -> DataFrame:
     """Index of text features on category shares, training rows against each month.
 
     ``month, feature, samples, psi, error``. A category absent on one side counts zero
@@ -271,7 +280,7 @@ def monthly_category_psi(train: DataFrame, population: DataFrame, roles: Roles,
         enough, F.greatest(F.lit(0.0), F.least(F.col("met") + unmet, F.lit(PSI_CAP)))
     ).otherwise(0.0)
     sizes = dated.groupBy("month").agg(F.count(F.lit(1)).alias("samples"))
-    small = F.col("samples") < MIN_MONTH_ROWS
+    small = F.col("samples") < min_rows
     return met.join(F.broadcast(whole), "feature").join(F.broadcast(sizes), "month").select(
         "month", "feature", "samples",
         F.when(~small, value).alias("psi"),

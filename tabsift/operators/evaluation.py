@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tabsift.functions.columns import closed_right_bin, col, linear_probs, ratio, round_half_even
-from tabsift.operators.ranking import auc_of, average_precision, exact_quantiles, rank_sums
+from tabsift.operators.ranking import auc_of, average_precision, exact_quantiles, rank_sums, stacked
 from tabsift.roles import Roles, month_of, within
 
-# Group limits and texts of the reports.
+# Groups of so many rows or fewer get no figures, unless the caller names another size.
 MORE_THAN_ROWS = 10
+# Texts of the reports.
 NO_AUC = "Insufficient data or no label variance"
 NO_BINS = "Insufficient data for binning"
 NO_EDGES = "All values equal: no bin edges"
@@ -62,22 +63,25 @@ def f1_score(df: DataFrame, score: str, label: str, by: list[str] = [], threshol
     )
 
 
-def _judged(table: DataFrame, keys: list[str]) -> DataFrame:
-    """Blank the figures of groups that are too small or have one label value."""
+def _judged(table: DataFrame, keys: list[str], more_than: int) -> DataFrame:
+    """Withhold the area of groups that are too small or have one label value; their counts stay."""
     n, p = F.col("samples"), F.col("positive_count")
-    fit = (n > MORE_THAN_ROWS) & (p > 0) & (p < n)
+    fit = (n > more_than) & (p > 0) & (p < n)
     return table.select(
-        *keys,
-        *(F.when(fit, F.col(c)).alias(c) for c in ("auc", "samples", "positive_count", "positive_rate")),
+        *keys, F.when(fit, F.col("auc")).alias("auc"), "samples", "positive_count", "positive_rate",
         F.when(~fit, NO_AUC).alias("error"),
     )
 
 
-def monthly_auc(df: DataFrame, roles: Roles, score: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """AUC of every month in one job: ``month, auc, samples, positive_count, positive_rate, error``."""
+def monthly_auc(
+    df: DataFrame, roles: Roles, score: str, start: str | None = None, end: str | None = None,
+    more_than: int = MORE_THAN_ROWS,
+) -> DataFrame:
+    """AUC of every month of more than ``more_than`` rows, in one job: ``month, auc, samples, positive_count,
+    positive_rate, error``."""
     rows = df if start is None else df.filter(within(df, roles.date, start, end))
     dated = rows.filter(col(roles.date).isNotNull()).withColumn("month", month_of(roles.date))
-    return _judged(auc(dated, score, roles.target, ["month"]), ["month"])
+    return _judged(auc(dated, score, roles.target, ["month"]), ["month"], more_than)
 
 
 def month_periods(dated: DataFrame) -> DataFrame:
@@ -90,7 +94,7 @@ def month_periods(dated: DataFrame) -> DataFrame:
     return months.select("month", period.alias("period"))
 
 
-def early_vs_latest(df: DataFrame, roles: Roles, score: str) -> DataFrame:
+def early_vs_latest(df: DataFrame, roles: Roles, score: str, more_than: int = MORE_THAN_ROWS) -> DataFrame:
     """AUC of the earlier and the later half of the months.
 
     ``period, auc, samples, positive_count, positive_rate, months, error``.
@@ -98,13 +102,12 @@ def early_vs_latest(df: DataFrame, roles: Roles, score: str) -> DataFrame:
     dated = df.filter(col(roles.date).isNotNull()).withColumn("month", month_of(roles.date))
     periods = month_periods(dated)
     judged = _judged(
-        auc(dated.join(F.broadcast(periods), "month"), score, roles.target, ["period"]), ["period"]
+        auc(dated.join(F.broadcast(periods), "month"), score, roles.target, ["period"]), ["period"], more_than
     )
     lists = periods.groupBy("period").agg(F.array_sort(F.collect_list("month")).alias("months"))
     single = F.col("period") == "all"
-    figures = ("auc", "samples", "positive_count", "positive_rate")
     return judged.join(F.broadcast(lists), "period").select(
-        "period", *(F.when(~single, F.col(c)).alias(c) for c in figures), "months",
+        "period", F.when(~single, F.col("auc")).alias("auc"), "samples", "positive_count", "positive_rate", "months",
         F.when(single, NO_PERIODS).otherwise(F.col("error")).alias("error"),
     )
 
@@ -113,62 +116,100 @@ def _percent(part, whole):
     return round_half_even(ratio(part.cast("double"), whole.cast("double")) * 100.0)
 
 
-def score_bins(df: DataFrame, roles: Roles, score: str, bins: int = 10) -> DataFrame:
-    """Per month, bins of the score between its distinct quantiles, right ends closed.
+def _binned(long: DataFrame, keys: list[str], bins: int, more_than: int) -> DataFrame:
+    """Per key, bins of ``s`` between its distinct quantiles, right ends closed, with totals of the key.
 
-    ``month, bin, count_population, count_positive, pct_distribution, positive_rate,
-    score_min, score_max, score_mean`` and the month's totals; ``error`` for months of
-    ten rows or fewer, or with a single score. Equal scores share a bin.
+    ``long``: ``keys, y, s``. Rows without a value are in no bin; ``missing`` counts them per key.
     """
-    dated = df.filter(col(roles.date).isNotNull()).select(
-        month_of(roles.date).alias("month"), col(roles.target).alias("y"), col(score).cast("double").alias("s")
-    )
-    edges = exact_quantiles(dated, ["month"], ["s"], linear_probs(bins)).select(
-        "month", F.array_distinct("quantiles").alias("edges")
+    named = long.withColumn("y", F.col("y").cast("bigint"))
+    edges = exact_quantiles(named, keys, ["s"], linear_probs(bins)).select(
+        *keys, F.array_distinct("quantiles").alias("edges")
     )
-    # One row per month.
-    placed = dated.join(F.broadcast(edges), "month", "left")
+    # One row per key on the right; Spark picks the join by its measured size.
+    placed = named.join(edges, keys, "left").withColumn("s", F.nullif(F.col("s"), F.lit(float("nan"))))
     in_bin = placed.groupBy(
-        "month", closed_right_bin(F.col("s"), F.col("edges"), bins + 1).alias("bin")
+        *keys, F.col("s").isNull().alias("absent"), closed_right_bin(F.col("s"), F.col("edges"), bins + 1).alias("bin")
     ).agg(
-        F.count(F.lit(1)).alias("count_population"),
-        F.coalesce(F.sum("y"), F.lit(0)).cast("bigint").alias("count_positive"),
-        F.min("s").alias("score_min"),
-        F.max("s").alias("score_max"),
-        F.sum("s").alias("score_sum"),
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("p"),
+        F.min("s").alias("lo"), F.max("s").alias("hi"), F.sum("s").alias("t"),
     )
-    month = Window.partitionBy("month")
-    n, p = F.col("count_population"), F.col("count_positive")
-    totals = in_bin.withColumn("total_population", F.sum(n).over(month)).withColumn(
-        "total_positive", F.sum(p).over(month)
+    whole = Window.partitionBy(*keys)
+    here = ~F.col("absent")
+    totals = in_bin.select(
+        "*",
+        F.coalesce(F.sum(F.when(here, F.col("n"))).over(whole), F.lit(0)).alias("total_population"),
+        F.coalesce(F.sum(F.when(here, F.col("p"))).over(whole), F.lit(0)).alias("total_positive"),
+        F.coalesce(F.sum(F.when(F.col("absent"), F.col("n"))).over(whole), F.lit(0)).alias("missing"),
+        F.max("bin").over(whole).isNull().alias("flat"),
+        F.row_number().over(whole.orderBy(F.col("absent"), F.col("bin").asc_nulls_last())).alias("turn"),
     )
-    small = F.col("total_population") <= MORE_THAN_ROWS
-    flat = F.max("bin").over(month).isNull()
-    error = F.when(small, NO_BINS).when(flat, NO_EDGES)
-    figures = [
-        F.col("bin").alias("bin"),
-        n.alias("count_population"),
-        p.alias("count_positive"),
-        _percent(n, F.col("total_population")).alias("pct_distribution"),
-        _percent(p, n).alias("positive_rate"),
-        F.col("score_min").alias("score_min"),
-        F.col("score_max").alias("score_max"),
-        ratio(F.col("score_sum"), n.cast("double")).alias("score_mean"),
-        F.col("total_population").alias("total_population"),
-        F.col("total_positive").alias("total_positive"),
-        _percent(F.col("total_positive"), F.col("total_population")).alias("overall_positive_rate"),
-    ]
-    names = ["bin", "count_population", "count_positive", "pct_distribution", "positive_rate", "score_min",
-             "score_max", "score_mean", "total_population", "total_positive", "overall_positive_rate"]
-    full = totals.withColumn("error", error).select("month", "error", *figures)
+    error = F.when(F.col("total_population") <= more_than, NO_BINS).when(F.col("flat"), NO_EDGES)
+    n, p = F.col("n"), F.col("p")
+    figures = {
+        "bin": F.col("bin"), "count_population": n, "count_positive": p,
+        "pct_distribution": _percent(n, F.col("total_population")), "positive_rate": _percent(p, n),
+        "score_min": F.col("lo"), "score_max": F.col("hi"), "score_mean": ratio(F.col("t"), n.cast("double")),
+    }
+    judged = totals.withColumn("error", error)
     ok = F.col("error").isNull()
-    return full.select("month", *(F.when(ok, F.col(c)).alias(c) for c in names), "error").distinct()
+    # A key without bins keeps one row, with its totals.
+    return judged.filter((ok & here) | (~ok & (F.col("turn") == 1))).select(
+        *keys, *(F.when(ok, c).alias(k) for k, c in figures.items()), "total_population", "total_positive",
+        _percent(F.col("total_positive"), F.col("total_population")).alias("overall_positive_rate"), "missing", "error",
+    )
+
+
+def score_bins(df: DataFrame, roles: Roles, score: str, bins: int = 10, more_than: int = MORE_THAN_ROWS) -> DataFrame:
+    """Per month, bins of the score between its distinct quantiles, right ends closed.
+
+    ``month, bin, count_population, count_positive, pct_distribution, positive_rate,
+    score_min, score_max, score_mean``, the month's totals and ``missing``, its rows without a score, which are in
+    no bin; ``error`` instead of bins for months of ``more_than`` scores or fewer, or with a single score. Equal
+    scores share a bin.
+    """
+    dated = df.filter(col(roles.date).isNotNull()).select(
+        month_of(roles.date).alias("month"), col(roles.target).alias("y"), col(score).cast("double").alias("s")
+    )
+    return _binned(dated, ["month"], bins, more_than)
 
 
-def feature_bins(df: DataFrame, roles: Roles, feature: str | None = None, bins: int = 5) -> DataFrame:
-    """Bins of the first (or a named) feature, for evaluation without a model."""
-    chosen = feature or roles.features(df)[0]
-    return score_bins(df, roles, chosen, bins).drop("score_min", "score_max", "score_mean")
+def feature_bins(
+    df: DataFrame, roles: Roles, names: list[str] | None = None, bins: int = 5, more_than: int = MORE_THAN_ROWS
+) -> DataFrame:
+    """Bins of all (or the named) features, for evaluation without a model.
+
+    ``month, feature, category`` and the columns of ``score_bins``. A numeric feature has bins, a text feature one
+    row per category (NULL for missing text).
+    """
+    chosen = names if names is not None else roles.features(df)
+    dated = df.filter(col(roles.date).isNotNull()).withColumn("month__", month_of(roles.date))
+    key = [F.col("month__").alias("month")]
+    parts = []
+    if numeric := [c for c in roles.numeric(df) if c in chosen]:
+        long = stacked(dated, ["month__", roles.target], {c: [col(c).cast("double")] for c in numeric}, ["s"])
+        long = long.select(*key, F.col("feature").alias("name"), col(roles.target).alias("y"), "s")
+        binned = _binned(long, ["month", "name"], bins, more_than).withColumnRenamed("name", "feature")
+        parts.append(binned.withColumn("category", F.lit(None).cast("string")))
+    if text := [c for c in roles.categorical(df) if c in chosen]:
+        long = stacked(dated, ["month__", roles.target], {c: [col(c)] for c in text}, ["category"])
+        counted = long.groupBy(*key, "feature", "category").agg(
+            F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(col(roles.target).cast("bigint")), F.lit(0)).alias("p"))
+        whole = Window.partitionBy("month", "feature")
+        n, p = F.col("n"), F.col("p")
+        total, positive = F.sum("n").over(whole), F.sum("p").over(whole)
+        none = F.lit(None).cast("double")
+        parts.append(counted.select(
+            "month", "feature", F.lit(None).cast("int").alias("bin"), n.alias("count_population"),
+            p.alias("count_positive"), _percent(n, total).alias("pct_distribution"), _percent(p, n).alias("positive_rate"),
+            none.alias("score_min"), none.alias("score_max"), none.alias("score_mean"),
+            total.alias("total_population"), positive.alias("total_positive"),
+            _percent(positive, total).alias("overall_positive_rate"),
+            F.coalesce(F.sum(F.when(F.col("category").isNull(), n)).over(whole), F.lit(0)).alias("missing"),
+            F.lit(None).cast("string").alias("error"), "category",
+        ))
+    if not parts:
+        raise ValueError("no numeric or text features to bin")
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def _band(value, limits, levels):

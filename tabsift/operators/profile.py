@@ -38,6 +38,7 @@ def numeric_moments(df: DataFrame, names: list[str], target: str, by: list[str]
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
             F.count(x).alias("n_valid"),
+            F.count_if(x.isNotNull() & y.isNotNull()).alias("n_pairs"),
             F.avg(x).alias("mean"),
             F.var_samp(x).alias("variance"),
             F.min(x).alias("min_value"),
@@ -56,9 +57,9 @@ def anova(moments: DataFrame) -> DataFrame:
     With two classes F = r^2 (n - 2) / (1 - r^2).
     """
     r2 = F.col("corr") * F.col("corr")
-    stat = ratio(r2 * (F.col("n_valid") - 2), 1.0 - r2)
+    stat = ratio(r2 * (F.col("n_pairs") - 2), 1.0 - r2)
     return moments.withColumn("f_stat", stat).withColumn(
-        "f_p", f_sf(F.col("f_stat"), F.lit(1.0), F.col("n_valid") - 2)
+        "f_p", f_sf(F.col("f_stat"), F.lit(1.0), F.col("n_pairs") - 2)
     )
 
 
@@ -152,12 +153,6 @@ def cardinality(table: DataFrame) -> DataFrame:
     )
 
 
-def approx_cardinality(df: DataFrame, names: list[str]) -> DataFrame:
-    """Sketch-based distinct counts for very wide or nearly unique text columns."""
-    long = stacked(df, [], {c: [col(c)] for c in names}, ["value"])
-    return long.groupBy("feature").agg(F.approx_count_distinct("value").alias("n_unique"))
-
-
 def _verdict(rules: list[tuple[Column, bool, Column]]) -> tuple[Column, Column]:
     """First rule that holds decides; none means a plain pass."""
     keep, reason = F.lit(True), F.lit("Pass")

@@ -144,7 +144,8 @@ def exact_quantiles(
 
     # At most two buckets per probability and (group, feature); lowest and highest
     # wanted place let most of a bucket's rows be passed over by plain comparisons.
-    wanted = F.broadcast(
+    # Spark picks the join by their measured size, as the groups are the caller's.
+    wanted = (
         sizes.withColumn("hits", hits(F.col("before")))
         .filter(F.size("hits") > 0)
         .select(*keys, "bucket", "before", "total", F.array_min("hits").alias("low"), F.array_max("hits").alias("high"))
@@ -251,27 +252,23 @@ def average_precision(
     """Average precision (step-wise area under precision-recall): sum over distinct
     scores, highest first, of the recall gained times the precision there.
     """
-    cuts = bucket_cuts(df, [score])
     keys = [*groups, "feature"]
-    counts = _counts(df, groups, [score], label, cuts)
-    totals = (
-        bucketed(df.filter(col(label).isNotNull()), [*groups, label], [score], cuts)
-        .groupBy(*keys, "bucket")
-        .agg(F.count(F.lit(1)).alias("bn"), F.sum(col(label).cast("bigint")).alias("bp"))
-    )
-    down = Window.partitionBy(*keys).orderBy(F.desc("bucket"))
+    inside = Window.partitionBy(*keys, "bucket").orderBy(F.desc("value"))
+    local = _counts(df, groups, [score], label, bucket_cuts(df, [score])).withColumn(
+        "cn", F.sum("n").over(inside)).withColumn("cp", F.sum("p").over(inside))
+    # A bucket's totals are those of its lowest value; the rows above it come from the totals alone.
+    within = Window.partitionBy(*keys, "bucket")
+    last = F.row_number().over(within.orderBy("value")) == 1
     whole = Window.partitionBy(*keys)
-    above = totals.select(
+    totals = local.withColumn("last", last)
+    above = totals.filter("last").select(
         *keys, "bucket",
-        (F.sum("bn").over(down) - F.col("bn")).alias("above_n"),
-        (F.sum("bp").over(down) - F.col("bp")).alias("above_p"),
-        F.sum("bn").over(whole).alias("all_n"),
-        F.sum("bp").over(whole).alias("all_p"),
+        (F.sum("cn").over(whole.orderBy(F.desc("bucket"))) - F.col("cn")).alias("above_n"),
+        (F.sum("cp").over(whole.orderBy(F.desc("bucket"))) - F.col("cp")).alias("above_p"),
+        F.sum("cn").over(whole).alias("all_n"),
+        F.sum("cp").over(whole).alias("all_p"),
     )
-    inside = Window.partitionBy(*keys, "bucket").orderBy(F.desc("value"))
-    ranked = counts.withColumn("cn", F.sum("n").over(inside)).withColumn("cp", F.sum("p").over(inside))
-    # At most MAX_BUCKETS rows per group.
-    joined = ranked.join(F.broadcast(above), [*keys, "bucket"])
+    joined = local.join(above, [*keys, "bucket"])
     precision = ratio((F.col("above_p") + F.col("cp")).cast("double"), (F.col("above_n") + F.col("cn")).cast("double"))
     recall = ratio(F.col("p").cast("double"), F.col("all_p").cast("double"))
     return joined.groupBy(*groups).agg(

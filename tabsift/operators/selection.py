@@ -18,7 +18,7 @@ from tabsift.operators.profile import (
     numeric_moments,
 )
 from tabsift.operators.significance import spearman
-from tabsift.operators.training import MAX_BINS, feature_stages
+from tabsift.operators.training import feature_stages, tree_bins
 from tabsift.roles import Roles
 
 # Weights and limits.
@@ -27,17 +27,13 @@ MI_FACTOR = 2.0
 CHI2_SCORE = 0.1
 CHI2_P = 0.05
 MIN_TARGET_SCORE = 0.01
-FOREST_MORE_THAN = 50
-FOREST_CANDIDATES = 1000
 FOREST = {"numTrees": 20, "maxDepth": 6, "seed": 42}
 STATISTIC_SHARE, FOREST_SHARE = 0.6, 0.4
 SCORE_FLOOR = 0.001
 STABLE_PSI, MODERATE_PSI = 0.4, 1.0
 STABLE_P = 0.01
-FEW, ENOUGH, MOST = 20, 50, 500
 QUICK_MAX_MISSING = 0.8
 BOOSTED = {"maxIter": 3, "maxDepth": 4, "stepSize": 0.2, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.6", "seed": 42}
-BOOSTED_MOST = 1000
 
 
 def _by_split(table: DataFrame, value: str) -> DataFrame:
@@ -107,23 +103,21 @@ def _importances(model, features: list[str], spark) -> DataFrame:
 def forest_importance(split: DataFrame, names: list[str], target: str) -> DataFrame:
     """Importance of each feature in a small random forest on the training rows."""
     rows = split.filter(F.col("split") == "train").select(*(col(c) for c in names), col(target).cast("double").alias("label__"))
-    forest = RandomForestClassifier(labelCol="label__", maxBins=MAX_BINS, **FOREST)
+    forest = RandomForestClassifier(labelCol="label__", maxBins=tree_bins(rows, names), **FOREST)
     model = Pipeline(stages=[*feature_stages(rows, names), forest]).fit(rows)
     return _importances(model, names, split.sparkSession)
 
 
 def join_importance(scores: DataFrame, importance: DataFrame) -> DataFrame:
-    """Blend statistical score and importance; features without importance drop out."""
-    blended = F.col("score") * STATISTIC_SHARE + F.col("importance") * FOREST_SHARE
-    return scores.join(F.broadcast(importance), "feature").withColumn("score", blended).drop("importance")
+    """Blend statistical score and importance; a feature without importance has importance 0."""
+    blended = F.col("score") * STATISTIC_SHARE + F.coalesce("importance", F.lit(0.0)) * FOREST_SHARE
+    return scores.join(importance, "feature", "left").withColumn("score", blended).drop("importance")
 
 
 def forest_blend(scores: DataFrame, split: DataFrame, target: str) -> DataFrame:
-    """Blend in forest importance when more than 50 features are left."""
-    top = [r["feature"] for r in scores.orderBy(F.desc("score"), "feature").limit(FOREST_CANDIDATES).collect()]
-    if len(top) <= FOREST_MORE_THAN:
-        return scores
-    return join_importance(scores, forest_importance(split, top, target))
+    """Blend in the forest importance of all features that have a score."""
+    names = [r["feature"] for r in scores.select("feature").orderBy("feature").collect()]
+    return join_importance(scores, forest_importance(split, names, target)) if names else scores
 
 
 def score_threshold(scores: DataFrame) -> DataFrame:
@@ -148,11 +142,11 @@ def stability_tier(scores: DataFrame) -> DataFrame:
     return score_threshold(scores).withColumn("tier", F.when(F.col("score") > F.col("min_score"), tier))
 
 
-def rank_selected(scores: DataFrame) -> DataFrame:
+def rank_selected(scores: DataFrame, most: int | None = None, fill_to: int = 0) -> DataFrame:
     """``feature, kind, stability, score, tier, selected, rank``.
 
-    High tier first, then moderate, each by score. Under 20 features, others with a
-    positive score fill up to 50; over 500, the best 500 by score stay.
+    High tier first, then moderate, each by score. Where fewer than ``fill_to`` features have a tier, others with a
+    positive score follow by score up to that number (default: none). Only the first ``most`` are selected if given.
     """
     tiers = stability_tier(scores)
     whole = Window.partitionBy(F.lit(1))  # one row per feature
@@ -163,16 +157,13 @@ def rank_selected(scores: DataFrame) -> DataFrame:
         .withColumn("__sure", F.count("tier").over(whole))
         .withColumn("__extra", F.sum(F.when(F.col("tier").isNull() & (F.col("score") > 0), 1)).over(by_score))
     )
-    fill = (F.col("__sure") < FEW) & F.col("tier").isNull() & (F.col("score") > 0) & (
-        F.col("__extra") <= ENOUGH - F.col("__sure")
-    )
+    fill = F.col("tier").isNull() & (F.col("score") > 0) & (F.col("__extra") <= F.lit(fill_to) - F.col("__sure"))
     chosen = marked.withColumn("__in", F.col("tier").isNotNull() | fill)
-    best = F.row_number().over(Window.partitionBy("__in").orderBy(F.desc("score"), "feature"))
-    chosen = chosen.withColumn("__best", best).withColumn("selected", F.col("__in") & (F.col("__best") <= MOST))
-    order = Window.partitionBy("selected").orderBy(
-        F.when(F.col("__sure") > MOST, 0).otherwise(F.col("__place")), F.desc("score"), "feature"
-    )
-    return chosen.withColumn("rank", F.when(F.col("selected"), F.row_number().over(order))).select(
+    order = Window.partitionBy("__in").orderBy("__place", F.desc("score"), "feature")
+    chosen = chosen.withColumn("__rank", F.row_number().over(order))
+    within = F.lit(True) if most is None else F.col("__rank") <= most
+    chosen = chosen.withColumn("selected", F.col("__in") & within)
+    return chosen.withColumn("rank", F.when(F.col("selected"), F.col("__rank"))).select(
         "feature", "kind", "stability", "score", "tier", "selected", "rank"
     )
 
@@ -197,11 +188,13 @@ def quick_filter(split: DataFrame, roles: Roles) -> DataFrame:
     return moments.filter(fit).select("feature", "missing_ratio", "variance")
 
 
-def boosted_importance(split: DataFrame, names: list[str], target: str) -> DataFrame:
-    """Fallback ranking by a three-round boosted model: ``feature, importance``, positive only."""
+def boosted_importance(split: DataFrame, names: list[str], target: str, most: int | None = None) -> DataFrame:
+    """Fallback ranking by a three-round boosted model: ``feature, importance``, positive only, best first; only
+    the first ``most`` if given."""
     rows = split.filter(F.col("split") == "train").select(*(col(c) for c in names), col(target).cast("double").alias("label__"))
-    boosted = GBTClassifier(labelCol="label__", maxBins=MAX_BINS, **BOOSTED)
+    boosted = GBTClassifier(labelCol="label__", maxBins=tree_bins(rows, names), **BOOSTED)
     model = Pipeline(stages=[*feature_stages(rows, names), boosted]).fit(rows)
     found = _importances(model, names, split.sparkSession)
-    return found.filter(F.col("importance") > 0).orderBy(F.desc("importance"), "feature").limit(BOOSTED_MOST)
+    ranked = found.filter(F.col("importance") > 0).orderBy(F.desc("importance"), "feature")
+    return ranked if most is None else ranked.limit(most)
 

@@ -1,4 +1,4 @@
-"""Significance score of many features, used when more than 300 pass the screen."""
+"""Significance score of many features, an optional step after the screen."""
 
 from __future__ import annotations
 
@@ -22,8 +22,6 @@ ANOVA_P = 0.05
 CHI2_BONUS = [(0.05, 8.0), (0.1, 4.0)]
 MI_WEIGHT = 20.0
 MIN_SCORE = 0.05
-MORE_THAN = 300
-TOP = 300
 
 
 def spearman(df: DataFrame, names: list[str], target: str, by: list[str] = []) -> DataFrame:
@@ -71,8 +69,7 @@ def significance_score(df: DataFrame, roles: Roles, names: list[str] | None = No
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def significance_filter(scores: DataFrame, top: int = TOP) -> DataFrame:
-    """The ``top`` features by score above the limit; ties go by name."""
-    return (
-        scores.filter(F.col("score") > MIN_SCORE).orderBy(F.desc("score"), "feature").limit(top)
-    )
+def significance_filter(scores: DataFrame, top: int | None = None) -> DataFrame:
+    """The features with a score above the limit; only the ``top`` ones if given, ties by name."""
+    found = scores.filter(F.col("score") > MIN_SCORE)
+    return found if top is None else found.orderBy(F.desc("score"), "feature").limit(top)

@@ -22,15 +22,16 @@ from tabsift.roles import Roles
 # Metric names accepted, and the settings of early stopping.
 METRICS = {"AUC": "areaUnderROC", "AUCPR": "areaUnderPR", "F1": "fMeasureByLabel"}
 STOP_TOLERANCE = 0.005
-# Above the most categories a selected text feature can have (50).
-MAX_BINS = 64
+# Share of the rows that tell early stopping when to stop; the model is fitted on all rows afterwards.
+VALIDATION_SHARE = 0.1
+# Bins of a numeric feature in tree models; text features may need more.
+NUMERIC_BINS = 64
 
 
 def feature_stages(df: DataFrame, features: list[str], out: str = "features") -> list:
     """Index text features in sorted order and assemble one vector column.
 
-    The category list of a text feature is small: the stability screen keeps at
-    most 50 categories.
+    The model holds the category list of each text feature; ``max_categories`` of the stability screen bounds it.
     """
     text = [f for f in features if isinstance(df.schema[f].dataType, T.StringType)]
     stages = []
@@ -45,6 +46,15 @@ def feature_stages(df: DataFrame, features: list[str], out: str = "features") ->
     return [*stages, VectorAssembler(inputCols=inputs, outputCol=out, handleInvalid="keep")]
 
 
+def tree_bins(df: DataFrame, features: list[str]) -> int:
+    """Bins that tree models need: as many as the categories of any text feature, one more for unseen ones."""
+    text = [f for f in features if isinstance(df.schema[f].dataType, T.StringType)]
+    if not text:
+        return NUMERIC_BINS
+    most = df.agg(*(F.count_distinct(col(c)) for c in text)).first()
+    return max(NUMERIC_BINS, max(most) + 1)
+
+
 def class_weights(df: DataFrame, target: str) -> DataFrame:
     """``y, samples, class_weight``: the smaller class weighs as much as the larger."""
     counts = (
@@ -70,16 +80,22 @@ def fold_of(roles: Roles, folds: int, seed: int = 42):
     return F.pmod(F.xxhash64(F.lit(seed), *(col(c) for c in roles.ids)), F.lit(folds)).cast("int")
 
 
-def candidates(seed: int = 42, early_stop: bool = False) -> list[tuple[str, Estimator]]:
+def held_for_stopping(roles: Roles, share: float = VALIDATION_SHARE, seed: int = 42):
+    """Whether a row tells early stopping when to stop, by a hash that has nothing to do with the folds."""
+    place = F.pmod(F.xxhash64(F.lit(seed), F.lit("validation"), *(col(c) for c in roles.ids)), F.lit(1_000_000))
+    return place < int(share * 1_000_000)
+
+
+def candidates(seed: int = 42, early_stop: bool = False, bins: int = NUMERIC_BINS) -> list[tuple[str, Estimator]]:
     """Models to try, in order."""
     common = {"featuresCol": "features", "labelCol": "label__", "weightCol": "class_weight"}
     stop = {"validationIndicatorCol": "validation__", "validationTol": STOP_TOLERANCE} if early_stop else {}
-    boosted = GBTClassifier(maxIter=20, maxDepth=5, seed=seed, maxBins=MAX_BINS, **stop, **common)
+    boosted = GBTClassifier(maxIter=20, maxDepth=5, seed=seed, maxBins=bins, **stop, **common)
     return [
         ("gradient_boosted_trees", boosted),
         (
             "random_forest",
-            RandomForestClassifier(numTrees=20, maxDepth=6, seed=seed, maxBins=MAX_BINS, **common),
+            RandomForestClassifier(numTrees=20, maxDepth=6, seed=seed, maxBins=bins, **common),
         ),
         ("logistic_regression", LogisticRegression(maxIter=50, regParam=0.01, **common)),
     ]
@@ -103,15 +119,27 @@ def training_rows(split: DataFrame, roles: Roles, features: list[str], folds: in
         *(col(f) for f in features),
         col(roles.target).cast("double").alias("label__"),
         "class_weight",
-        fold_of(roles, max(folds, 2), seed).alias("fold"),
-    ).withColumn("validation__", F.col("fold") == 0)
+        fold_of(roles, max(folds, 1), seed).alias("fold"),
+        held_for_stopping(roles, seed=seed).alias("validation__"),
+    )
 
 
 def evaluator(metric: str):
     name = METRICS[metric.upper()]
     if metric.upper() == "F1":
         return MulticlassClassificationEvaluator(labelCol="label__", metricName=name, metricLabel=1.0)
-    return BinaryClassificationEvaluator(labelCol="label__", metricName=name)
+    # No bins: the curve has a point for every distinct score.
+    return BinaryClassificationEvaluator(labelCol="label__", metricName=name, numBins=0)
+
+
+def refit_all(pipeline: Pipeline, model: PipelineModel, rows: DataFrame) -> PipelineModel:
+    """The number of rounds that early stopping found, fitted on all rows; other models as they are."""
+    last = pipeline.getStages()[-1]
+    if not isinstance(last, GBTClassifier) or not last.isDefined("validationIndicatorCol"):
+        return model
+    full = last.copy().setMaxIter(model.stages[-1].getNumTrees)
+    full.clear(full.validationIndicatorCol)
+    return Pipeline(stages=[*pipeline.getStages()[:-1], full]).fit(rows)
 
 
 def train_leader(
@@ -126,24 +154,31 @@ def train_leader(
 ) -> Leader:
     """Fit up to ``max_models`` models and keep the best by cross-validated metric.
 
-    ``folds=0`` ranks by the metric on the training rows instead.
+    ``folds=0`` ranks by the metric on the training rows instead. With ``early_stop`` boosted trees stop when a
+    share of the rows (``VALIDATION_SHARE``, chosen apart from the folds) gets no better; the model that is kept has
+    that number of rounds and is fitted on all rows.
     """
     if metric.upper() not in METRICS:
         raise ValueError(f"unknown metric {metric!r}: use one of {sorted(METRICS)}")
+    if not 1 <= max_models <= len(candidates()):
+        raise ValueError(f"max_models must be 1 to {len(candidates())}, not {max_models}")
+    if not features:
+        raise ValueError("no features to train on")
     rows = training_rows(split, roles, features, folds, seed).persist()
     judge = evaluator(metric)
     board, best = [], None
     try:
-        for name, estimator in candidates(seed, early_stop)[:max_models]:
+        bins = tree_bins(rows, features)
+        for name, estimator in candidates(seed, early_stop, bins)[:max_models]:
             pipeline = Pipeline(stages=[*feature_stages(rows, features), estimator])
             if folds > 1:
                 cv = CrossValidator(
                     estimator=pipeline, estimatorParamMaps=ParamGridBuilder().build(), evaluator=judge,
                     numFolds=folds, foldCol="fold", seed=seed,
                 ).fit(rows)
-                model, score = cv.bestModel, float(cv.avgMetrics[0])
+                model, score = refit_all(pipeline, cv.bestModel, rows), float(cv.avgMetrics[0])
             else:
-                model = pipeline.fit(rows)
+                model = refit_all(pipeline, pipeline.fit(rows), rows)
                 score = float(judge.evaluate(model.transform(rows)))
             board.append((name, metric.upper(), score))
             if best is None or score > best[1]:

@@ -49,22 +49,27 @@ def evaluate(
     features: list[str] | None = None,
     start: str | None = None,
     end: str | None = None,
+    scored: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Section tables by name. With a model the rows are scored once, written to the
-    shared folder as a narrow table, and every section reads that."""
+    """Section tables by name.
+
+    With a model the rows are scored once, written to the shared folder as a narrow table, and every section reads
+    that; ``scored`` (the fixed columns and ``score``) takes its place if the caller has it.
+    """
     spark = population.sparkSession
     for df in (train, population):
         require(check_required(df, [roles.date, roles.target]))
     sections = {"performance": grade_table(spark, train_score, oot_score, metric)}
-    if model is None:
+    if model is None and scored is None:
         sections["monthly_statistics"] = monthly_statistics(
             population.filter(col(roles.date).isNotNull()), roles
         ).withColumn("note", F.lit(WITHOUT_MODEL))
         sections["basic_bin_analysis"] = feature_bins(population, roles)
     else:
-        path = scratch_path(spark, "scored")
-        write_stage(score_batch(population, model, features, roles.fixed), path)
-        scored = read_stage(spark, path)
+        if scored is None:
+            path = scratch_path(spark, "scored")
+            write_stage(score_batch(population, model, features, roles.fixed), path)
+            scored = read_stage(spark, path)
         sections["monthly_auc"] = monthly_auc(scored, roles, "score", start, end)
         sections["early_vs_latest_analysis"] = early_vs_latest(scored, roles, "score")
         sections["bin_analysis"] = score_bins(scored, roles, "score")

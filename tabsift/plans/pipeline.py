@@ -61,8 +61,8 @@ def run_pipeline(
     )
     sections = evaluate(
         prepared.split.filter(F.col("split") == "train").drop("split"), prepared.split.drop("split"), roles,
-        gap["train_score"], gap["oot_score"], metric, leader.model, leader.features,
-        windows.train_start, windows.oot_end,
+        gap["train_score"], gap["oot_score"], metric, start=windows.train_start, end=windows.oot_end,
+        scored=scored.drop("split"),
     )
     write_evaluation(sections, evaluated_at, f"{out}/evaluation")
     shapes = prepared.report.first()
@@ -72,6 +72,7 @@ def run_pipeline(
         params={
             "optimization_metric": metric, "max_models": max_models, "folds": folds, "seed": seed,
             "num_features": len(prepared.features),
+            "features_from": prepared.source,
             "train_samples": shapes["train_rows"], "oot_samples": shapes["oot_rows"],
         },
         metrics={

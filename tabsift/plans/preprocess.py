@@ -27,21 +27,37 @@ from tabsift.operators.selection import (
     quick_filter,
     rank_selected,
 )
-from tabsift.operators.significance import MORE_THAN, significance_filter, significance_score
+from tabsift.operators.significance import significance_filter, significance_score
 from tabsift.operators.splitting import split_by_date
 from tabsift.roles import Roles, Windows
 from tabsift.sources.sinks import feature_report, read_stage, write_stage
+from tabsift.sources.tables import nan_to_null
 
 
 @dataclass(frozen=True)
 class SelectionOptions:
     """``screen_on``: judge missing values on "raw" or "filled" rows.
     ``stats_on``: statistics on "filled" rows, or on "imputed" ones (medians per split).
-    ``use_oot_labels``: whether out-of-time labels take part in the choice."""
+    ``use_oot_labels``: whether out-of-time labels take part in the choice.
+    ``significant``: keep only so many features by significance after the screen; None keeps all, 0 keeps all that
+    have any. ``max_categories``: text features of more categories are out. ``forest``: blend in the importance of a
+    forest. ``most``: select only so many. ``fill_to``: where fewer have a tier, fill up to so many by score.
+    No step depends on the number of features unless these say so.
+    ``on_empty``: "error" or "fallback" (boosted importance) if nothing is selected."""
 
     screen_on: str = "raw"
     stats_on: str = "filled"
     use_oot_labels: bool = True
+    significant: int | None = None
+    max_categories: int | None = None
+    forest: bool = False
+    most: int | None = None
+    fill_to: int = 0
+    on_empty: str = "error"
+
+    def __post_init__(self):
+        if self.on_empty not in ("error", "fallback"):
+            raise ValueError(f"on_empty must be 'error' or 'fallback', not {self.on_empty!r}")
 
 
 @dataclass
@@ -74,15 +90,14 @@ def _labelled(split: DataFrame, options: SelectionOptions) -> DataFrame:
 
 
 def screened(splits: Splits, roles: Roles, options: SelectionOptions = SelectionOptions()) -> list[str]:
-    """Names of the features that pass the quality screen, in table order; beyond 300,
-    the 300 most significant."""
+    """Names of the features that pass the quality screen (and the significance step, if asked for), in table order."""
     rows = splits.raw if options.screen_on == "raw" else splits.filled
     verdict = quality_verdict(_labelled(rows, options), roles)
     kept = {r["feature"] for r in verdict.filter("keep").select("feature").collect()}
     names = [c for c in roles.features(splits.filled) if c in kept]
-    if len(names) > MORE_THAN:
+    if options.significant is not None and names:
         scores = significance_score(_labelled(splits.filled, options), roles, names)
-        kept = {r["feature"] for r in significance_filter(scores).collect()}
+        kept = {r["feature"] for r in significance_filter(scores, options.significant or None).collect()}
         names = [c for c in names if c in kept]
     return names
 
@@ -99,7 +114,7 @@ def stability(split: DataFrame, roles: Roles, names: list[str], options: Selecti
         )
     if text:
         parts.append(
-            categorical_stability(split, roles, text, options.use_oot_labels)
+            categorical_stability(split, roles, text, options.use_oot_labels, options.max_categories)
             .select("feature", F.lit("categorical").alias("kind"), "stability", "keep")
         )
     if not parts:
@@ -142,7 +157,9 @@ def feature_scores(splits: Splits, roles: Roles, options: SelectionOptions = Sel
 def select_features(splits: Splits, roles: Roles, options: SelectionOptions = SelectionOptions()) -> DataFrame:
     """``feature, kind, stability, score, tier, selected, rank``."""
     scores = settle(feature_scores(splits, roles, options))
-    return rank_selected(forest_blend(scores, splits.filled, roles.target))
+    if options.forest:
+        scores = forest_blend(scores, splits.filled, roles.target)
+    return rank_selected(scores, options.most, options.fill_to)
 
 
 def fallback_features(split: DataFrame, roles: Roles) -> list[str]:
@@ -156,12 +173,14 @@ def fallback_features(split: DataFrame, roles: Roles) -> list[str]:
 
 @dataclass
 class Prepared:
-    """Checked and reduced rows, the ranking, and the feature names in order."""
+    """Checked and reduced rows, the ranking, the feature names in order, and where they come from: "selection" or
+    "fallback"."""
 
     split: DataFrame
     ranking: DataFrame
     features: list[str]
     report: DataFrame
+    source: str = "selection"
 
 
 def preprocess(
@@ -172,9 +191,23 @@ def preprocess(
     The split table is written once, partitioned by split, and the statistics read it
     back; the many passes do not repeat what lies before it.
     """
+    df = nan_to_null(df)
     require(data_checks(to_datetime(df, roles.date), roles, windows))
     splits = stage(prepare(df, roles, windows), roles, path)
     ranking = settle(select_features(splits, roles, options))
     features = [r["feature"] for r in ranking.filter("selected").orderBy("rank").collect()]
+    source = "selection"
+    if not features and options.on_empty == "fallback":
+        features, source = fallback_features(splits.filled, roles), "fallback"
+        ranking = settle(fallback_ranking(splits.filled.sparkSession, features))
+    if not features:
+        raise ValueError(f"no feature is left after the screens and the {source}: see the ranking and quality tables")
     kept = keep_features(splits.filled, roles, features)
-    return Prepared(kept, ranking, features, feature_report(ranking.filter("selected"), kept))
+    return Prepared(kept, ranking, features, feature_report(ranking.filter("selected"), kept), source)
+
+
+def fallback_ranking(spark, features: list[str]) -> DataFrame:
+    """The fallback's features in the columns of ``select_features``, in their order."""
+    rows = [(c, "numeric", None, None, "fallback", True, i + 1) for i, c in enumerate(features)]
+    return spark.createDataFrame(
+        rows, "feature string, kind string, stability double, score double, tier string, selected boolean, rank int")

@@ -23,15 +23,17 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A parquet table; a missing path raises AnalysisException at once."""
-    return nan_to_null(spark.read.parquet(path))
+    """A parquet table; a missing path raises AnalysisException at once.
+
+    Values come as they are, so that filters on them reach the files; ``nan_to_null`` belongs before statistics.
+    """
+    return spark.read.parquet(path)
 
 
-def read_columns(spark: SparkSession, path: str, max_cols: int | None = None) -> DataFrame:
-    """The first ``max_cols`` columns; the others are never read from the files."""
+def read_columns(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
+    """The named columns (default: all); the others are never read from the files."""
     df = spark.read.parquet(path)
-    keep = df.columns if max_cols is None else df.columns[:max_cols]
-    return nan_to_null(df.select(*(f"`{c}`" for c in keep)))
+    return df if names is None else df.select(*(f"`{c}`" for c in names))
 
 
 def table_info(df: DataFrame) -> DataFrame:

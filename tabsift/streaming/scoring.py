@@ -30,7 +30,8 @@ def monitor_stream(
     """Rows, positives and score range per time window and score bin.
 
     The bins have fixed edges, since quantiles of a window are not known while it
-    fills. State is one row per open window and bin.
+    fills. Scores below the first edge are in bin -1, those above the last in the bin after the last, missing ones in
+    bin NULL. State is one row per open window and bin.
     """
     stamped = scored.withColumn(ts, col(ts).cast("timestamp"))  # a watermark needs this type
     if scored.isStreaming:
@@ -52,14 +53,15 @@ def monitor_stream(
     )
 
 
-def run_available(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Process what is there, write it to the shared folder and return it as a table.
+def run_available(stream: DataFrame, name: str, mode: str = "append", path: str | None = None) -> DataFrame:
+    """Process what is there, write it below ``path`` and return it as a table.
 
-    Output and progress lie in the shared folder, so a restarted run goes on where
-    it stopped. ``complete`` mode keeps the last state of every group.
+    Output and progress lie together, so a run with the ``path`` of an earlier one goes on where that stopped;
+    without a ``path`` both are new, in the shared folder, and ``name`` is part of theirs. ``append`` writes a group
+    once its window is behind the watermark; ``complete`` keeps the last state of every group and is for few groups.
     """
     spark = stream.sparkSession
-    base = scratch_path(spark, name)
+    base = path.rstrip("/") if path else scratch_path(spark, name)
     writer = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", f"{base}/progress")
     if mode == "append":
         query = writer.format("parquet").option("path", f"{base}/rows").outputMode("append").start()

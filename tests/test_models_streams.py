@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from suite import queries as Q
 from suite import views as V
-from tabsift.operators import selection, training
+from tabsift.functions.columns import closed_right_bin
+from tabsift.operators import cleaning, selection, training
 from tabsift.operators.scoring import score_batch
 from tabsift.plans.pipeline import run_pipeline
-from tabsift.plans.preprocess import SelectionOptions, prepare, screened, select_features
+from tabsift.plans.preprocess import SelectionOptions, prepare, preprocess, screened, select_features
 from tabsift.sources import read_stage
 from tabsift.streaming import monitor_stream, read_stream, run_available, score_stream
 
@@ -50,8 +51,11 @@ def test_more_than_three_hundred_features(spark, sf):
         "risk_id", "partition_date", "label", "total_price",
         *(((F.col("risk_id") * p) % 1009).cast("double").alias(f"f{i}") for i, p in enumerate(range(1013, 1013 + 620, 2))),
     )
-    names = screened(prepare(wide, V.RISK, V.WINDOWS), V.RISK)
-    assert len(names) <= 300 and "total_price" in names
+    splits = prepare(wide, V.RISK, V.WINDOWS)
+    names = screened(splits, V.RISK)
+    assert len(names) == 311 and "total_price" in names
+    few = screened(splits, V.RISK, SelectionOptions(significant=20))
+    assert len(few) <= 20 and "total_price" in few
 
 
 def test_forest_finds_the_planted_feature(parts):
@@ -60,10 +64,79 @@ def test_forest_finds_the_planted_feature(parts):
     assert max(rows, key=lambda r: r["importance"])["feature"] in ("seg_signal", "total_price")
 
 
-def test_blend_needs_many_features(parts):
+def test_blend_is_for_any_number_of_features(parts):
     spark = parts.filled.sparkSession
     few = spark.createDataFrame([("total_price", "numeric", 0.1, 0.5, 0.6)], "feature string, kind string, stability double, target_score double, score double")
-    assert selection.forest_blend(few, parts.filled, "label").first()["score"] == 0.6
+    assert selection.forest_blend(few, parts.filled, "label").first()["score"] == pytest.approx(0.6 * 0.6 + 0.4)
+    assert select_features(parts, V.RISK, SelectionOptions(forest=True)).filter("selected").count() > 0
+
+
+def test_selection_does_not_change_with_the_number_of_features(spark):
+    def ranked(n, **options):
+        rows = [(f"f{i}", "numeric", 0.1 if i % 2 else 0.5, 1.0, 1.0 - i / 2000.0) for i in range(n)]
+        table = spark.createDataFrame(rows, "feature string, kind string, stability double, target_score double, score double")
+        return selection.rank_selected(table, **options).orderBy("rank").collect()
+
+    for n in (10, 500, 501, 1001):
+        got = ranked(n)
+        chosen = [r["feature"] for r in got if r["selected"]]
+        tiers = [r["tier"] for r in got if r["selected"]]
+        assert tiers == sorted(tiers) and len(chosen) >= 0.9 * n
+        assert [r["feature"] for r in ranked(n, most=7) if r["selected"]] == chosen[:7]
+
+
+def test_an_empty_selection_has_a_defined_outcome(spark, sf, tmp_path):
+    rows = V.risk_orders(spark, sf).select("risk_id", "partition_date", "label", "drift_half", "const_col")
+    with pytest.raises(ValueError, match="no feature is left"):
+        preprocess(rows, V.RISK, V.WINDOWS, str(tmp_path / "a"))
+    found = preprocess(rows, V.RISK, V.WINDOWS, str(tmp_path / "b"), SelectionOptions(on_empty="fallback"))
+    assert found.source == "fallback" and found.features == ["drift_half"]
+    with pytest.raises(ValueError):
+        SelectionOptions(on_empty="maybe")
+
+
+def test_early_stopping_with_and_without_folds(parts):
+    for folds in (0, 3):
+        leader = training.train_leader(parts.filled, V.RISK, ["total_price", "acctbal"], "AUC", 1, folds, early_stop=True)
+        assert leader.leaderboard.first()["score"] > 0.6
+    with pytest.raises(ValueError, match="max_models"):
+        training.train_leader(parts.filled, V.RISK, ["total_price"], "AUC", 4, 0)
+
+
+def test_held_rows_are_apart_from_the_folds(parts):
+    rows = training.training_rows(parts.filled, V.RISK, ["total_price"], 3, 42)
+    shares = {r["fold"]: r["s"] for r in rows.groupBy("fold").agg(F.avg(F.col("validation__").cast("int")).alias("s")).collect()}
+    assert set(shares) == {0, 1, 2} and all(0.03 < s < 0.2 for s in shares.values())
+
+
+def test_trees_take_many_categories(spark):
+    rows = spark.createDataFrame([(i, float(i % 2), f"c{i % 90}", "train") for i in range(900)], "id long, label double, text string, split string")
+    assert training.tree_bins(rows, ["text"]) == 91
+    assert selection.forest_importance(rows, ["text"], "label").count() == 1
+
+
+def test_a_resumed_stream_repeats_nothing(spark, parts, leader, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = parts.filled.drop("split").withColumn("acctbal", F.when(F.col("risk_id") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("acctbal")))
+    for half in (0, 1):
+        rows.filter(F.col("risk_id") % 2 == half).write.mode("append").parquet(source)
+        stream = read_stream(spark, source, rows.schema)
+        got = run_available(score_stream(stream, leader.model, leader.features, ["risk_id"]), "scores", path=out)
+    assert sorted(got.collect()) == sorted(score_batch(rows, leader.model, leader.features, ["risk_id"]).collect())
+    assert got.count() == rows.count()
+
+
+def test_codes_of_a_hot_value_join_on_a_salt(spark):
+    rows = spark.createDataFrame([(i, "hot" if i % 10 else f"v{i}", "a") for i in range(2000)], "id long, x string, y string")
+    assert sorted(cleaning.factorize(rows, ["x", "y"], small=1).collect()) == sorted(cleaning.factorize(rows, ["x", "y"]).collect())
+    assert "Exchange hashpartitioning" not in cleaning.factorize(rows, ["x", "y"])._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
+
+
+def test_bins_have_places_for_missing_and_far_values(spark):
+    rows = spark.createDataFrame([(x,) for x in (None, float("nan"), -5.0, 0.0, 0.5, 1.0, 2.0, 99.0)], "x double")
+    edges = F.array(F.lit(0.0), F.lit(1.0), F.lit(2.0))
+    got = [r[0] for r in rows.select(closed_right_bin(F.col("x"), edges, 3)).collect()]
+    assert got == [None, None, -1, 0, 0, 0, 1, 2]
 
 
 def test_boosted_fallback(parts):
