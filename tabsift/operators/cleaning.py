@@ -263,6 +263,6 @@ def factorize(df: DataFrame, names: list[str], small: int = SMALL_CODES, salts:
             # The salt hangs on the other columns of the row, so that a task run again deals alike.
             rest = [col(x) for x in df.columns if x != c]
             salt = F.pmod(F.xxhash64(*rest), F.lit(salts)) if rest else F.lit(0)
-            spread = mine.withColumn(f"__s_{c}", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
+            spread = mine.withColumn(f"__s_{c}", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
             out = out.join(spread, (value == F.col(f"__v_{c}")) & (salt == F.col(f"__s_{c}")), "left")
     return out.select(*(F.col(f"__c_{c}").alias(c) if c in names else col(c) for c in df.columns))

@@ -29,12 +29,18 @@ def test_missing_table_raises(spark, tmp_path):
         read_table(spark, str(tmp_path / "none.parquet"))
 
 
-def test_column_limit_prunes_the_scan(spark, sf):
-    df = read_columns(spark, f"{sf}/lineitem.parquet", 2)
+def test_named_columns_prune_the_scan(spark, sf):
+    df = read_columns(spark, f"{sf}/lineitem.parquet", ["l_orderkey", "l_partkey"])
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert df.columns == ["l_orderkey", "l_partkey"] and "l_shipdate" not in plan
 
 
+def test_float_filters_reach_the_files(spark, sf):
+    df = read_table(spark, f"{sf}/orders.parquet").filter("o_totalprice > 400000")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(o_totalprice" in plan
+
+
 def test_nan_is_missing(spark):
     df = nan_to_null(spark.createDataFrame([(float("nan"), 1), (2.0, 2)], "x double, i int"))
     assert one(df.agg(F.count("x").alias("n"), F.avg("x").alias("m"))) == (1, 2.0)

@@ -230,7 +230,7 @@ def test_reconcile_with_repeated_ids(spark):
     assert (got["matched"], got["mismatched"], got["only_a"], got["only_b"]) == (1, 3, 1, 1)
 
 
-def brute_selection(rows):
+def brute_selection(rows, most=None, fill_to=0):
     """The rules of the selection spelled out on a list of (feature, kind, stability, score)."""
     rows = sorted(rows, key=lambda r: (-r[3], r[0]))
     scores = [r[3] for r in rows]
@@ -245,19 +245,15 @@ def brute_selection(rows):
             else:
                 (high if s > 0.01 else moderate).append(f)
     chosen = high + moderate
-    if len(chosen) < 20:
-        for f, _, _, score in rows:
-            if f not in chosen and score > 0:
-                chosen.append(f)
-                if len(chosen) >= 50:
-                    break
-    if len(chosen) > 500:
-        chosen = [r[0] for r in rows if r[0] in chosen][:500]
-    return chosen
-
-
-@pytest.mark.parametrize("n, seed", [(8, 1), (30, 2), (70, 3), (640, 4)])
-def test_selection_rules(spark, n, seed):
+    for f, _, _, score in rows:
+        if len(chosen) < fill_to and f not in chosen and score > 0:
+            chosen.append(f)
+    return chosen[:most]
+
+
+@pytest.mark.parametrize("n, seed, options", [
+    (8, 1, {}), (30, 2, {"fill_to": 50}), (30, 2, {"fill_to": 25}), (70, 3, {"most": 20}), (640, 4, {})])
+def test_selection_rules(spark, n, seed, options):
     rng = np.random.default_rng(seed)
     rows = []
     for i in range(n):
@@ -265,8 +261,8 @@ def test_selection_rules(spark, n, seed):
         s = None if rng.random() < 0.1 else float(rng.random() * (1.5 if kind == "numeric" else 0.05))
         rows.append((f"f{i:03d}", kind, s, float(rng.random() ** 3 if rng.random() < 0.8 else 0.0005 * rng.integers(0, 2))))
     df = spark.createDataFrame(rows, "feature string, kind string, stability double, score double")
-    got = selection.rank_selected(df).filter("selected").orderBy("rank").collect()
-    assert [r["feature"] for r in got] == brute_selection(rows)
+    got = selection.rank_selected(df, **options).filter("selected").orderBy("rank").collect()
+    assert [r["feature"] for r in got] == brute_selection(rows, **options)
 
 
 def test_monthly_category_psi_equals_numpy(spark):
