@@ -83,6 +83,13 @@ RULES = {
 }
 #: The end of a sentence with the white space after it; without lookbehind, so that any engine reads it alike.
 SENTENCE_END = r"([.!?:])[\t-\r ]+"
+#: A line without letters or digits, which ends the sentence before it; so does a line that is a heading, a copyright
+#: line or "all rights reserved".
+BLANK_LINE = r"\n[^A-Za-z0-9\n]*\n"
+HEADING = (
+    r"(?imd)^([^A-Za-z0-9\n]*(?:copyright[^A-Za-z0-9\n]*(?:\(c\)|©|[0-9]{4}|[<\[])[^\n]*|\(c\)[^\n]*|©[^\n]*|all rights reserved"
+    r"|(?:[A-Za-z0-9.-]+ ){1,3}license(?: \([A-Za-z0-9 .-]+\))?)[^A-Za-z0-9\n]*)\n"
+)
 
 
 def _literal_map(table: dict[str, str]) -> Column:
@@ -99,8 +106,10 @@ def scan_licenses(
 ) -> DataFrame:
     """The columns of ``docs`` but ``text``, with sentence_ids, rules and licenses, each an array of strings.
 
-    A line feed may end a sentence or wrap it, so texts are read both ways; sentence_ids are those of the lines,
-    then those found only when lines are joined. Unknown sentences are skipped: a rule needs its identifiers next to
+    A line feed may end a sentence or wrap it, so texts are read both ways, and a third time with lines joined only
+    within a paragraph and below headings; there a known sentence may also run over three parts, as where its usual
+    wording has a colon, "v. 2.0" or a paragraph of its own for an address. sentence_ids are those of the lines, then
+    those found only in the other readings. Unknown sentences are skipped: a rule needs its identifiers next to
     each other among the known ones. rules are the rules found, licenses their names, each once and sorted. Null and
     empty texts have none. Repeated rows stay, an empty table stays empty; columns of these names give way.
     """
@@ -108,11 +117,26 @@ def scan_licenses(
     names = _literal_map({f"{rule} ": name for rule, name in rules.items()})
     pattern = rule_pattern(rules)
 
-    def identifiers(joined: Column) -> Column:
+    def sentences_of(joined: Column) -> Column:
         # Ends become line feeds; what stands between two of them is a sentence.
         parts = F.split(F.regexp_replace(joined, SENTENCE_END, "$1\n"), "\n", -1)
-        plain = F.transform(parts, lambda s: F.trim(F.lower(F.regexp_replace(s, "[^A-Za-z0-9]+", " "))))
-        return F.filter(F.transform(plain, lambda s: F.element_at(known, s)), lambda k: k.isNotNull())
+        return F.transform(parts, lambda s: F.trim(F.lower(F.regexp_replace(s, "[^A-Za-z0-9]+", " "))))
+
+    def identifiers(joined: Column) -> Column:
+        return F.filter(F.transform(sentences_of(joined), lambda s: F.element_at(known, s)), lambda k: k.isNotNull())
+
+    def paragraphs(raw: Column) -> Column:
+        lines = F.regexp_replace(raw, "\r\n?", "\n")
+        ended = F.regexp_replace(F.regexp_replace(lines, HEADING, "$1. "), BLANK_LINE, ". ")
+        return F.filter(sentences_of(F.translate(ended, "\n", " ")), lambda s: s != "")
+
+    def run_identifiers(plain: Column) -> Column:
+        # A sentence that is not known alone may be the first of two or three parts of one that is.
+        def found_at(s: Column, i: Column) -> Column:
+            runs = (F.array_join(F.slice(plain, i + 1, F.lit(n)), " ") for n in (2, 3))
+            return F.coalesce(F.element_at(known, s), *(F.element_at(known, r) for r in runs))
+
+        return F.filter(F.transform(plain, found_at), lambda k: k.isNotNull())
 
     def matched(keys: Column) -> Column:
         return F.regexp_extract_all(F.concat(F.array_join(keys, " "), F.lit(" ")), F.lit(pattern), F.lit(0))
@@ -121,11 +145,13 @@ def scan_licenses(
     found = docs.select(
         *kept, identifiers(F.coalesce(F.col(text), F.lit(""))).alias("lines__"),
         identifiers(F.translate(F.coalesce(F.col(text), F.lit("")), "\r\n", "  ")).alias("joined__"),
+        paragraphs(F.coalesce(F.col(text), F.lit(""))).alias("parts__"),
     )
-    found = found.select(*kept, "lines__", "joined__", F.array_distinct(
-        F.concat(matched(F.col("lines__")), matched(F.col("joined__")))).alias("found__"))
+    found = found.select(*kept, "lines__", "joined__", run_identifiers(F.col("parts__")).alias("runs__"))
+    found = found.select(*kept, "lines__", "joined__", "runs__", F.array_distinct(F.concat(
+        matched(F.col("lines__")), matched(F.col("joined__")), matched(F.col("runs__")))).alias("found__"))
     return found.select(
-        *kept, F.array_union("lines__", "joined__").alias("sentence_ids"),
+        *kept, F.array_union(F.array_union("lines__", "joined__"), F.col("runs__")).alias("sentence_ids"),
         F.transform("found__", lambda r: F.trim(r)).alias("rules"),
         F.array_sort(F.array_distinct(F.transform("found__", lambda r: F.element_at(names, r)))).alias("licenses"),
     )

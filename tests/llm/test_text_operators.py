@@ -381,3 +381,51 @@ def test_license_rules(spark):
     assert got[0][1] == ["m03 m04 m05 m06"]
     assert sorted(names for i, _, names in got if i == 8) == [["CC-BY-NC-4.0"], ["CC-BY-NC-4.0", "MIT"]]
     assert licenses.scan_licenses(empty(df)).collect() == []
+
+
+MIT_GRANT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated "
+    "documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation "
+    "the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to "
+    "permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:\n\n")
+NOTICES = {
+    "mit": ("m03", "MIT", "MIT License\n\nCopyright (c) 2020 Some One\n\n" + MIT_GRANT),
+    "mit, comment": ("m03", "MIT", "/*\n * The MIT License (MIT)\n * Copyright (c) 2020 Some One\n"
+                     + "".join(f" * {x}\n" for x in MIT_GRANT.splitlines())),
+    "mit, windows": ("m03", "MIT", ("MIT License\n\nCopyright (c) 2020 Some One\n\n" + MIT_GRANT).replace("\n", "\r\n")),
+    "gpl3": ("g02 g04 g05", "GPL-3.0-or-later", (
+        "Name - what it does\nCopyright (C) 2020  Some One\n\nThis program is free software: you can redistribute it and/or modify"
+        "\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of "
+        "the License, or\n(at your option) any later version.\n\nThis program is distributed in the hope that it will be useful,\n"
+        "but WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See "
+        "the\nGNU General Public License for more details.\n")),
+    "mpl": ("p01 p02", "MPL-2.0", (
+        "// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this\n// file, You can obtain one at https://mozilla.org/MPL/2.0/.\n\ncode")),
+    "apache": ("a02 a03 a04 a05", "Apache-2.0", (
+        "#  Copyright 2020 Some One\n#\n#  Licensed under the Apache License, Version 2.0 (the \"License\");\n#  you may not use "
+        "this file except in compliance with the License.\n#  You may obtain a copy of the License at\n#\n#      "
+        "http://www.apache.org/licenses/LICENSE-2.0\n#\n#  Unless required by applicable law or agreed to in writing, software\n"
+        "#  distributed under the License is distributed on an \"AS IS\" BASIS,\n#  WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, "
+        "either express or implied.\n#  See the License for the specific language governing permissions and\n#  limitations under "
+        "the License.\n#\n")),
+    "bsd": ("b01 b02 b03 b04", "BSD-3-Clause", (
+        "BSD 3-Clause License\n\nCopyright (c) 2020, Some One\nAll rights reserved.\n\nRedistribution and use in source and binary "
+        "forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n1. Redistributions "
+        "of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n\n"
+        "2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following "
+        "disclaimer in the documentation\n   and/or other materials provided with the distribution.\n\n3. Neither the name of the "
+        "copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this "
+        "software without specific prior written permission.\n\nTHIS SOFTWARE")),
+}
+
+
+def test_whole_license_notices(spark):
+    rows = [(name, text) for name, (_, _, text) in NOTICES.items()]
+    rows += [("not", "Nothing here is\nreleased under\nthe MIT license."), ("wrapped", "None is released under\nthe MIT License\nor so."),
+             ("half", "This program is free software: take it.")]
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    for name, (rule, license, _) in NOTICES.items():
+        assert rule in got[name]["rules"] and got[name]["licenses"] == [license], name
+        assert set(rule.split()) <= set(got[name]["sentence_ids"]), name
+    assert not any(got[name]["licenses"] for name in ("not", "wrapped", "half"))
