@@ -1,7 +1,7 @@
 """A corpus pipeline: whole documents in, token ids out, in stages that are written and read again.
 
 Low quality goes, one document of each group of near copies stays, strings that repeat go, the sources are mixed to
-their weights (documents may repeat then, or give only their first words), and what is left becomes token ids.
+their weights (documents may repeat then, each copy whole), and what is left becomes token ids.
 """
 
 from __future__ import annotations
@@ -52,7 +52,7 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often as the mix takes them."""
     numbered = _numbered(docs)
-    mixed = mixing.mix_sources(numbered, keep=(KEY,)).dropDuplicates([KEY])
+    mixed = mixing.mix_sources(numbered, keep=(KEY,), whole_copies=True).dropDuplicates([KEY])
     taken = mixing.repeat_documents(numbered, mixed, KEY)
     return taken.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 

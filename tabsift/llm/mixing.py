@@ -62,8 +62,9 @@ def _draw(*key: object) -> float:
     return (xxhash.xxh64_intdigest(repr(key)) >> 11) * 2.0**-53
 
 
-def _round_group(rows: pd.DataFrame, seed: int) -> pd.DataFrame:
-    """Decide all documents of a group but one; ``p`` of the others is 0 or 1 afterwards."""
+def _round_group(rows: pd.DataFrame, seed: int, draw_last: bool = False) -> pd.DataFrame:
+    """Decide all documents of a group but one; ``p`` of the others is 0 or 1 afterwards. With ``draw_last`` that one
+    is drawn with its ``p``."""
     rows = rows.sort_values(["size", "key", "p"], ascending=[False, True, True], kind="stable")
     size, p, key = rows["size"].tolist(), rows["p"].tolist(), rows["key"].tolist()
     held = None  # the undecided document
@@ -85,18 +86,22 @@ def _round_group(rows: pd.DataFrame, seed: int) -> pd.DataFrame:
             if p[k] < TINY or p[k] > 1 - TINY:
                 p[k] = float(round(p[k]))
         held = next((k for k in (j, i) if 0 < p[k] < 1), None)
+    if draw_last and held is not None:
+        p[held] = float(_draw(seed, "last", key[held], size[held]) < p[held])
     return rows.assign(p=p, open=[0 < x < 1 for x in p])
 
 
 def mix_sources(
     docs: DataFrame, *, share: float = 1.5, most: float = 2.0, weights: tuple[float, ...] = WEIGHTS,
     seed: int = 17, group_rows: int = GROUP_ROWS, fanout: int = FANOUT, keep: tuple[str, ...] = (),
+    whole_copies: bool = False,
 ) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken, and the columns named in ``keep``.
 
     ``taken`` is the number of words the mix takes, repeats counted. It is a whole number of copies; only the last
-    undecided document of a source gives a part of one, so that the source meets its target to a word. Repeated
-    rows are documents of their own; a null text has no words and gives none; a null source is a source; a null
+    undecided document of a source gives a part of one, so that the source meets its target to a word. With
+    ``whole_copies`` that document is drawn too: no copy is cut, a source is off its target by less than one document,
+    and every document keeps its expected number of copies. Repeated rows are documents of their own; a null text has no words and gives none; a null source is a source; a null
     doc_id is an id. The same rows give the same mix, however they are dealt over files and tasks.
     """
     sized = staged(docs.select("doc_id", "source", words_in(F.col("text")).alias("size"), *keep), "mix-sizes")
@@ -113,17 +118,17 @@ def mix_sources(
     deal = F.pmod(F.xxhash64(F.lit(seed), "key", "size"), F.lit(many))
     state = rows.select(*rows.columns, deal.alias("group"))
 
-    def rounded(df: DataFrame, level: int) -> DataFrame:
+    def rounded(df: DataFrame, level: int, last: bool) -> DataFrame:
         held = df.select("source", "group", "key", "doc_id", "size", "source_size", "target", "whole", "p", *keep)
         schema = held.withColumn("open", F.lit(True)).schema
         return held.groupBy("source", "group").applyInPandas(
-            lambda part: _round_group(part, seed + level)[schema.names], schema
+            lambda part: _round_group(part, seed + level, last and whole_copies)[schema.names], schema
         )
 
     done = None
     level = 0
     while True:
-        step = staged(rounded(state, level), f"mix-level-{level}")
+        step = staged(rounded(state, level, many == 1), f"mix-level-{level}")
         decided = step.where("not open") if many > 1 else step
         done = decided if done is None else done.unionByName(decided)
         if many == 1:

@@ -37,7 +37,7 @@ def op2_set_join(spark, sf):
 
 @query
 def op3_mix_sources(spark, sf):
-    mixed = mixing.mix_sources(table(spark, sf, "documents"))
+    mixed = mixing.mix_sources(table(spark, sf, "documents"), whole_copies=True)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 

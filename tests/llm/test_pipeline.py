@@ -99,6 +99,11 @@ def test_mix_stage_takes_whole_documents(outputs):
     assert sum(taken.values()) == pytest.approx(1.5 * sum(sizes.values()), abs=5)
 
 
+def test_mix_stage_keeps_every_text_whole(outputs):
+    before, after = (pairs(df) for df in outputs[3])
+    assert set(after) <= set(before)
+
+
 def test_token_stage(outputs, tiktoken_library):  # noqa: F811
     before, after = outputs[4]
     wanted, got = defaultdict(list), defaultdict(list)

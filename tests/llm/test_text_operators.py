@@ -6,6 +6,7 @@ import math
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -217,6 +218,26 @@ def test_copies_are_fair(spark):
     assert abs(np.mean(share) - 0.5) < 0.1
 
 
+@pytest.mark.parametrize("options", [{}, {"group_rows": 20, "fanout": 2}])
+def test_mix_of_whole_copies(docs, options):
+    mixed = mixing.mix_sources(docs, whole_copies=True, **options).toPandas()
+    assert len(mixed) == docs.count() and not mixed[mixed["size"] > 0].eval("taken % size").any()
+    for _, part in mixed.groupby("source"):
+        assert abs(part["taken"].sum() - part["target"].iloc[0]) < part["size"].max()
+
+
+def test_the_last_document_is_drawn_with_its_probability():
+    rows = pd.DataFrame({"size": [100], "key": ["k"], "p": [0.3]})
+    drawn = [mixing._round_group(rows, seed, True)["p"][0] for seed in range(2000)]
+    assert set(drawn) == {0.0, 1.0} and abs(np.mean(drawn) - 0.3) < 0.05
+    assert mixing._round_group(rows, 0)["p"][0] == 0.3
+
+
+def test_mix_query_takes_whole_documents(spark, sf):
+    rows = QUERIES["op3_mix_sources"](spark, sf).collect()
+    assert all(r["taken"] % r["size"] == 0 for r in rows if r["size"])
+
+
 def test_mix_of_odd_rows(odd):
     got = mixing.mix_sources(odd).collect()
     assert len(got) == len(ODD) and all(0 <= r["taken"] <= 2 * r["size"] for r in got)
