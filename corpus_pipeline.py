@@ -42,10 +42,8 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """All documents without the strings of 200 bytes that occur more than once; cut characters go as well."""
     others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
     packed = docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in others)).alias(REST))
-    left = repeats.remove_repeats(packed, keep=(REST,))
-    raw = F.col("kept").cast("string")
-    whole = F.when(F.is_valid_utf8(raw), raw).otherwise(F.translate(F.make_valid_utf8(raw), "�", ""))
-    changed = left.select("doc_id", whole.alias("text"), f"{REST}.*").withColumn("n_chars", F.length("text").cast("long"))
+    left = repeats.remove_repeats(packed, keep=(REST,), whole_characters=True)
+    changed = left.select("doc_id", F.col("kept").cast("string").alias("text"), f"{REST}.*").withColumn("n_chars", F.length("text").cast("long"))
     return changed.select(*docs.columns)
 
 

@@ -356,13 +356,14 @@ def compare_blocks(blocks: DataFrame, block: int, lot_bytes: int) -> DataFrame:
 def remove_repeats(
     docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc_id", text: str = "text",
     block: int = BLOCK, lot_bytes: int = LOT_BYTES, crowd: int = CROWD, keep: tuple[str, ...] = (),
+    whole_characters: bool = False,
 ) -> DataFrame:
     """One row per document: id_col, n_bytes, n_removed, n_spans, kept (binary), and the columns named in ``keep``.
 
     A byte goes if a string of ``length`` bytes over it starts at one more place, in any document, also the same
     one and overlapping itself; no string crosses documents. All strings are judged on the input. n_spans counts
-    the maximal runs removed; kept is the rest, one after the other, which may cut a character. Null and empty texts
-    have 0 bytes, and texts below ``length`` lose none. Repeated rows are documents of their own: they lose what
+    the maximal runs removed; kept is the rest, one after the other, which may cut a character; with
+    ``whole_characters`` the bytes left of a cut one go from kept as well. Null and empty texts have 0 bytes, and texts below ``length`` lose none. Repeated rows are documents of their own: they lose what
     they share. An empty table gives no rows. Equality of whole windows and of common bytes is that of 64-bit hashes.
     """
     if length % STEP or not block + GRAM < length < 4096 or block > 30:
@@ -423,7 +424,8 @@ def remove_repeats(
                 out[0].append(len(raw))
                 out[1].append(removed)
                 out[2].append(n_spans)
-                out[3].append(kept if found else raw)
+                left = kept if found else raw
+                out[3].append(left.decode(errors="ignore").encode() if whole_characters else left)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id__"), *(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.binary()),
                  *(batch.column(c) for c in keep)], names=names)

@@ -86,6 +86,16 @@ def test_repeat_stage_removes_long_repeats(outputs):
     assert any(len(t or "") > len(wanted[i]) for i, t in before)
 
 
+def test_repeat_stage_keeps_replacement_characters_of_the_text(spark):
+    # The repeat starts within a character: é and ĩ end in the same byte.
+    long = " ".join(str(k) for k in range(100, 180))
+    docs = spark.createDataFrame(
+        [(1, f"� one é{long}#end �", "en", "s", 1), (2, f"two ĩ{long}%fin", "en", "s", 1)],
+        "doc_id long, text string, lang string, source string, n_chars long")
+    got = dict(pairs(corpus_pipeline.repeated_strings(spark, docs, "")))
+    assert got == {1: "� one #end �", 2: "two %fin"}
+
+
 def test_mix_stage_takes_whole_documents(outputs):
     before, after = (pairs(df) for df in outputs[3])
     texts = dict(before)
