@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabsift.llm import (
-    byte_bpe, licenses, mixing, near_vectors, packing, quality, repeats, set_join, token_counts, top_k,
+    byte_bpe, licenses, mixing, near_vectors, packing, quality, repeats, set_join, spelling, token_counts, top_k,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,3 +85,8 @@ def op10_licenses(spark, sf):
     found = licenses.scan_licenses(table(spark, sf, "documents").select("doc_id", "text"))
     line = lambda c: F.array_join(F.array_sort(c), " ")
     return found.select("doc_id", line("sentence_ids").alias("sentence_ids"), line("licenses").alias("licenses"))
+
+
+@query
+def op13_spelling(spark, sf):
+    return spelling.spelling_variants(table(spark, sf, "documents"))
