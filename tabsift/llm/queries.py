@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabsift.llm import (
-    byte_bpe, licenses, mixing, near_vectors, packing, quality, repeats, set_join, spelling, token_counts, top_k,
+    byte_bpe, centroids, licenses, mixing, near_vectors, packing, quality, repeats, set_join, spelling, token_counts, top_k,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +87,11 @@ def op10_licenses(spark, sf):
     return found.select("doc_id", line("sentence_ids").alias("sentence_ids"), line("licenses").alias("licenses"))
 
 
+@query
+def op11_centroids(spark, sf):
+    return centroids.cluster_vectors(table(spark, sf, "embeddings"))
+
+
 @query
 def op13_spelling(spark, sf):
     return spelling.spelling_variants(table(spark, sf, "documents"))
