@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabsift.llm import (
-    byte_bpe, centroids, licenses, mixing, near_vectors, packing, quality, repeats, set_join, spelling, token_counts, top_k,
+    byte_bpe, centroids, fingerprints, licenses, mixing, near_vectors, packing, quality, repeats, set_join, spelling, token_counts, top_k,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +92,11 @@ def op11_centroids(spark, sf):
     return centroids.cluster_vectors(table(spark, sf, "embeddings"))
 
 
+@query
+def op12_fingerprints(spark, sf):
+    return fingerprints.fingerprint_documents(table(spark, sf, "documents"))
+
+
 @query
 def op13_spelling(spark, sf):
     return spelling.spelling_variants(table(spark, sf, "documents"))
