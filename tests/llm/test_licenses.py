@@ -60,7 +60,7 @@ def test_given_tables(spark):
     rules = spark.createDataFrame([("x1 x2", "Mine"), ("x1", "Other")], "rule string, license string")
     known, named = licenses.sentence_table(sentences, rules)
     assert known == {"x1": "free for all uses", "x2": "but not here"}
-    got = scanned(spark, [("a", "Free for all\nuses. But not: here"), ("b", "free for all uses")], sentences=known, rules=named)
+    got = scanned(spark, [("a", "Free for all\nuses. But not,\nhere"), ("b", "free for all uses")], sentences=known, rules=named)
     assert got["a"]["licenses"] == ["Mine"] and got["b"]["licenses"] == ["Other"]
     with pytest.raises(ValueError):
         licenses.sentence_table(sentences, rules, most=1)
