@@ -21,7 +21,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write the rows to the shared folder and read them back: lineage ends here, executors may go."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table of ``staged`` from which nothing is read any more, also not to make a lost part of a later one."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.staged_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def nullable(schema: StructType) -> StructType:

@@ -106,7 +106,7 @@ def mix_sources(
     """
     sized = staged(docs.select("doc_id", "source", words_in(F.col("text")).alias("size"), *keep), "mix-sizes")
     targets = source_targets(sized, share=share, most=most, weights=weights)
-    # Equal rows differ by their place among themselves, so that no draw is shared.
+    # Rows of equal id and size share their draws.
     ids = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).select(

@@ -20,7 +20,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from tabsift.llm.common import chunks, nullable, small_batches, staged
+from tabsift.llm.common import chunks, discard, nullable, small_batches, staged
 from tabsift.llm.components import components, local_roots
 from tabsift.llm.shingles import Shingler
 
@@ -413,6 +413,9 @@ def jaccard_groups(
     answers = staged(verified(led, texts, width=width, percent=percent, differences=True), "set-answers")
     edges = answers.where("link").select("a", "b").union(derived_links(answers, percent))
     roots = components(edges)
+    # The differences were for the derived links, which are in the components by now.
+    full, answers = answers, staged(answers.drop("only_a", "only_b"), "set-answers-led")
+    discard(full)
     distance = 1 - F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))
     near = answers.select(F.col("a").alias("class"), F.col("b").alias("leader"), distance.alias("far"))
     above = near.select(F.col("class").alias("leader"), F.col("leader").alias("above"), F.col("far").alias("above_far"))
