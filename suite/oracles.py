@@ -680,3 +680,118 @@ from (values (0, 3), (3, 1)) v(folds, models)"""
 SQL["batch_scores_agree"] = _with(RAW, "select risk_id, split, true as agrees from raw")
 SQL["saved_scores_agree"] = _with(RAW, "select risk_id, true as agrees from raw")
 SQL["stream_scores_agree"] = _with(RAW, "select risk_id, true as agrees from raw")
+
+# Rounds of boosting, settings, and category means
+
+_ROUNDS = RISK + """,
+rounds as (
+  select label, r::int as round,
+    (risk_id * 7919 % 1009)::double / 1009.0::double + (total_price / 500000.0::double) * (least(r, 8)::double * 0.25::double) as score
+  from risk, (select unnest(range(1, 31)) as r)),"""
+_CURVES = _ROUNDS + _auc("rounds", by="round") + "," + _ap("rounds", "round") + """,
+curve as (
+  select 'AUC' as metric, round, auc as v from au union all select 'AUCPR', round, average_precision from ap)"""
+SQL["patience_curve"] = _with(_CURVES, "select metric, round, round(v, 6) as value from curve")
+SQL["patience_round"] = "with recursive " + _CURVES.lstrip() + """,
+asked as (select * from (values (10, 0.005::double), (2, 0.02::double)) t(patience, tolerance)),
+walk as (
+  select metric, patience, tolerance, round, v as best, round as best_round from curve, asked where round = 1
+  union all
+  select w.metric, w.patience, w.tolerance, c.round, case when c.v >= w.best + w.tolerance then c.v else w.best end,
+    case when c.v >= w.best + w.tolerance then c.round else w.best_round end
+  from walk w join curve c on c.metric = w.metric and c.round = w.round + 1 where w.round - w.best_round < w.patience)
+select metric, patience::int as patience, arg_max(best_round, round)::int as best_round, round(arg_max(best, round), 6) as best_value,
+  max(round)::int as stopped_at, 30::bigint as rounds from walk group by 1, 2"""
+SQL["round_scores_agree"] = _with(RAW, """
+select r::int as round, count(*) as n_rows, true as agrees from raw, (select unnest(range(1, 5)) as r) where split = 'train' group by 1""")
+_PLACE = "((risk_id * 48271 % 2147483647)::double / 2147483647.0::double)"
+
+
+def _board() -> str:
+    """Nine columns on a ninth, three on a third, one on all of the rows."""
+    ctes = RAW + ",\nlng as (" + " union all ".join(
+        f"select {i} as ord, '{c}' as feature, {c}::double as s, label, {_PLACE} as place from raw where split = 'train'" for i, c in enumerate(NUMERIC)
+    ) + "),\nb0 as (select distinct feature, ord, true as kept from lng)"
+    keep = 1.0 / 3.0
+    for rung in (1, 2, 3):
+        share = keep ** (3 - rung)
+        ctes += f""",
+c{rung} as (
+  select feature, s, sum(label)::double as p, count(*)::double as n from lng
+  where s is not null and place < {share!r}e0 and feature in (select feature from b{rung - 1} where kept) group by all),
+m{rung} as (select *, sum(n - p) over (partition by feature order by s rows unbounded preceding) - (n - p) as below from c{rung}),
+a{rung} as (
+  select feature, case when sum(p) > 0 and sum(n - p) > 0 then sum(p * (below + (n - p) / 2)) / (sum(p) * sum(n - p)) end as auc
+  from m{rung} group by 1),
+p{rung} as (
+  select {rung} as rung, {share!r}e0 as share, feature, ord, auc, row_number() over (order by auc desc nulls last, ord) as place,
+    count(auc) over () as scored
+  from (select feature, ord from b{rung - 1} where kept) left join a{rung} using (feature)),
+b{rung} as (select *, place <= least({(0, 3, 1, 1)[rung]}, greatest(1, scored)) as kept from p{rung})"""
+    rows = " union all ".join(
+        f"select rung::int as rung, round(share, 6) as share, place::int as place, feature as setting, round(auc, 6) as score, kept from b{r}" for r in (1, 2, 3))
+    return _with(ctes, rows)
+
+
+SQL["halving_board"] = _board()
+_CODED = RAW + f""",
+coded as (select *, 'c' || (risk_id % 211)::varchar as code, {_PLACE} as place from raw),
+tr as (select * from coded where split = 'train'), mean as (select avg(label::double) as m from tr)"""
+_MEANS = ["seg_signal", "priority", "code"]
+SQL["ordered_means"] = _with(_CODED, "select risk_id, " + ", ".join(
+    f"""round((coalesce(sum(label) over ({w}), 0) + 10 * m) / (count(label) over ({w}) + 10), 6) as {c}__mean""" for c, w in (
+        (c, f"partition by coalesce({c}, 'missing') order by place rows between unbounded preceding and 1 preceding") for c in _MEANS)
+) + " from tr, mean")
+SQL["applied_means"] = _with(_CODED + "," + ", ".join(
+    f"{c}_t as (select coalesce({c}, 'missing') as {c}, sum(label) as t, count(label) as n from tr group by 1)" for c in _MEANS
+), "select risk_id, " + ", ".join(
+    f"round((coalesce({c}_t.t, 0) + 10 * m) / (coalesce({c}_t.n, 0) + 10), 6) as {c}__mean" for c in _MEANS
+) + " from coded " + " ".join(f"left join {c}_t on {c}_t.{c} = coalesce(coded.{c}, 'missing')" for c in _MEANS) + ", mean where split = 'oot'")
+SQL["half_sample"] = """select o_orderkey from orders
+qualify row_number() over (order by md5('42:' || o_orderkey::varchar), o_orderkey) <= (select count(*) // 2 from orders)"""
+
+# Sections of an evaluation
+
+_SCORED = FILLED + """,
+sc as (select strftime(partition_date, '%Y-%m') as month, label, total_price / 500000.0::double as score from filled),"""
+SQL["section_performance"] = """
+select 0.9::double as train_score, 0.85::double as oot_score, 0.05::double as overfitting, 'Model performs excellently' as performance_level,
+  'mild overfitting' as overfitting_level, 'Model performs excellently, mild overfitting' as status, true as deployable
+from orders limit 1"""
+SQL["section_monthly_auc"] = _with(_SCORED + _auc("sc", by="month"), f"{_judged('month')}, {_ERROR} from au")
+SQL["section_early_vs_latest"] = _with(
+    _SCORED + """
+ms as (select distinct month from sc),
+pd as (select month, case when row_number() over (order by month) <= floor(count(*) over () / 2)
+  then 'early' else 'latest' end as period from ms),
+r as (select period, score, label from sc join pd using (month)),""" + _auc("r", by="period") + """,
+ml as (select period, string_agg(month, ',' order by month) as months from pd group by 1)""",
+    f"{_judged('period')}, months, {_ERROR} from au join ml using (period)",
+)
+SQL["section_bins"] = _with(_SCORED + "src as (select month, label, score as s from sc)," + _bins("src", "month", 10), _bin_columns("month", 9))
+SQL["section_psi"] = f"select * from ({SQL['monthly_psi']}) union all select * from ({SQL['monthly_category_psi']})"
+SQL["evaluation_manifest"] = f"""
+with s as (
+  select 'performance' as section, 1 as n_rows union all
+  select 'monthly_auc', count(*) from ({SQL['section_monthly_auc']}) union all
+  select 'early_vs_latest_analysis', count(*) from ({SQL['section_early_vs_latest']}) union all
+  select 'bin_analysis', count(*) from ({SQL['section_bins']}) union all
+  select 'psi_analysis', count(*) from ({SQL['section_psi']}))
+select section, n_rows::bigint as n_rows, 'sections/' || section as path, '2024-10-01T00:00:00' as evaluated_at from s"""
+
+# Summaries that merge
+
+SQL["drift_store_psi"] = SQL["monthly_psi"]
+SQL["distinct_sketches"] = _with(RISK, " union all ".join(
+    f"select '{c}' as feature, count(*) as n_rows, count({c}) as n_valid, true as within_error from risk"
+    for c in ("total_price", "n_lines", "priority", "segment", "seg_signal")))
+SQL["stream_quantile_bins"] = """
+with e as (select time_bucket(interval 7 days, ts, timestamp '1970-01-01') as w, event_type = 'purchase' as hit, value from events)
+select strftime(w, '%Y-%m-%d') as window_start, count(*) as n_rows, count(*) filter (hit and value is not null) as count_positive,
+  3::int as last_bin, true as within_error from e group by w"""
+SQL["stream_requests"] = """
+with d as (select event_id, ts, dense_rank() over (order by ts::date) - 1 as place, (select count(distinct ts::date) from events) as days from events),
+f as (select *, place // 10 as lot, (days - 1) // 10 as last_lot from d),
+newest as (select lot, max(max(ts)) over (order by lot) as top from f where event_id % 97 <> 0 group by lot)
+select event_id, case when event_id % 97 <> 0 or ts >= top - interval 12 hours then 'scored' else 'late' end as kind
+from f join newest using (lot) where event_id % 97 <> 0 or lot < last_lot"""

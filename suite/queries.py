@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from suite import views as V
 from tabsift.functions.columns import linear_probs
-from tabsift.operators import checks, cleaning, drift, evaluation, profile, ranking, selection
-from tabsift.operators import significance, splitting, training
+from tabsift.operators import boosting, checks, cleaning, drift, encoding, evaluation, profile, ranking, search, selection
+from tabsift.operators import significance, sketches, splitting, training
 from tabsift.operators.scoring import score_batch
+from tabsift.plans import drift_store
 from tabsift.plans.evaluate import evaluate
 from tabsift.plans.preprocess import (
     Splits,
@@ -24,8 +25,16 @@ from tabsift.plans.preprocess import (
 )
 from tabsift.session import scratch_path
 from tabsift.sources import log_run, read_columns, read_stage, read_table, table_info, write_stage
-from tabsift.sources.sinks import evaluation_json, feature_report
-from tabsift.streaming import monitor_stream, read_stream, run_available, score_stream
+from tabsift.sources.sinks import evaluation_json, feature_report, read_sections, write_sections
+from tabsift.streaming import (
+    monitor_stream,
+    quantile_bins,
+    read_stream,
+    run_available,
+    score_requests,
+    score_stream,
+    sketch_stream,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -749,3 +758,200 @@ def stream_monitor(spark, sf):
     )
     spelled = [F.date_format(c, "yyyy-MM-dd HH:mm").alias(c) for c in ("window_start", "window_end")]
     return rounded(seen.select(*spelled, "bin", "count_population", "count_positive", "score_min", "score_max"))
+
+
+# Rounds of boosting, settings, and category means
+
+
+def _place():
+    """A place in [0, 1) that has nothing to do with the label and that SQL can repeat."""
+    return (F.col("risk_id") * 48271 % 2147483647).cast("double") / 2147483647.0
+
+
+def _planted_rounds(spark, sf):
+    """A score per order and round that gets better for eight rounds and stays as it is."""
+    price = F.col("total_price") / 500000.0
+    noise = (F.col("risk_id") * 7919 % 1009).cast("double") / 1009.0
+    rounds = V.risk_orders(spark, sf).select("label", price.alias("price"), noise.alias("noise"), F.explode(F.sequence(F.lit(1), F.lit(30))).alias("round"))
+    return rounds.select("label", "round", (F.col("noise") + F.col("price") * (F.least("round", F.lit(8)).cast("double") * 0.25)).alias("score"))
+
+
+@query
+def patience_curve(spark, sf):
+    scores = _planted_rounds(spark, sf)
+    curves = [boosting.metric_curve(scores, "label", m).select(F.lit(m).alias("metric"), "round", "value") for m in ("AUC", "AUCPR")]
+    return rounded(curves[0].unionByName(curves[1]))
+
+
+@query
+def patience_round(spark, sf):
+    """Where patience runs out on those curves, for two settings of it."""
+    scores, out = _planted_rounds(spark, sf), None
+    for metric in ("AUC", "AUCPR"):
+        curve = boosting.metric_curve(scores, "label", metric)
+        for patience, tolerance in ((10, 0.005), (2, 0.02)):
+            found = boosting.patient_round(curve, patience, tolerance).select(F.lit(metric).alias("metric"), F.lit(patience).alias("patience"), "*")
+            out = found if out is None else out.unionByName(found)
+    return rounded(out)
+
+
+@query
+def round_scores_agree(spark, sf):
+    """The scores after the last round of a boosted model are the model's own."""
+    rows = splits(spark, sf).filled
+    ready = training.training_rows(rows, V.RISK, NUMERIC, 0, 42).withColumn("risk_row", F.monotonically_increasing_id())
+    boosted = dict(training.candidates(rounds=4))["gradient_boosted_trees"]
+    fitted = Pipeline(stages=[*training.feature_stages(ready, NUMERIC), boosted]).fit(ready)
+    scored = fitted.transform(ready).withColumn("own", vector_to_array("probability")[1])
+    rounds = boosting.round_scores(fitted.stages[-1], scored.select("features", "own"), ["own"])
+    return rounds.groupBy("round").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.every((F.abs(F.col("own") - F.col("score")) < 1e-12) | (F.col("round") < 4)).alias("agrees"))
+
+
+@query
+def halving_board(spark, sf):
+    """Successive halving in which a column is its own model."""
+    rows = splits(spark, sf).raw.filter(F.col("split") == "train")
+    board = search.halving(NUMERIC, search.ranked_by_auc(rows, NUMERIC, "label", _place()))
+    return rounded(spark.createDataFrame(board, search.BOARD))
+
+
+@query
+def search_board(spark, sf):
+    return search.search_leader(splits(spark, sf).filled, V.RISK, [*NUMERIC, "seg_signal"], "AUC", settings=6, rungs=2).leaderboard
+
+
+def _coded(rows):
+    """With a text feature of many values."""
+    return rows.withColumn("code", F.concat(F.lit("c"), (F.col("risk_id") % 211).cast("string")))
+
+
+@query
+def ordered_means(spark, sf):
+    rows = _coded(splits(spark, sf).raw).filter(F.col("split") == "train")
+    names = ["seg_signal", "priority", "code"]
+    found = encoding.ordered_target_means(rows, names, "label", _place())
+    return rounded(found.select("risk_id", *(f"{c}__mean" for c in names)))
+
+
+@query
+def applied_means(spark, sf):
+    rows, names = _coded(splits(spark, sf).raw), ["seg_signal", "priority", "code"]
+    train = rows.filter(F.col("split") == "train")
+    found = encoding.apply_target_means(
+        rows.filter(F.col("split") == "oot"), names, encoding.target_means(train, names, "label"), encoding.overall_mean(train, "label"))
+    return rounded(found.select("risk_id", *(f"{c}__mean" for c in names)))
+
+
+@query
+def half_sample(spark, sf):
+    orders = V.table(spark, sf, "orders")
+    return splitting.sample_rows(orders, orders.count() // 2, ["o_orderkey"]).select("o_orderkey")
+
+
+# Sections of an evaluation, written and read back
+
+
+def _planted_sections(spark, sf):
+    rows = staged(spark, sf).filled
+    scored = rows.select(*V.RISK.fixed, (F.col("total_price") / 500000.0).alias("score"))
+    sections = evaluate(
+        rows.filter(F.col("split") == "train").drop("split"), rows.drop("split"), V.RISK, 0.9, 0.85, "AUC", scored=scored)
+    path = scratch_path(spark, "evaluation")
+    write_sections(sections, "2024-10-01T00:00:00", path)
+    return path, read_sections(spark, path)
+
+
+@query
+def evaluation_manifest(spark, sf):
+    path, _ = _planted_sections(spark, sf)
+    return spark.read.json(f"{path}/manifest").select("section", "n_rows", "path", "evaluated_at")
+
+
+@query
+def section_performance(spark, sf):
+    return rounded(_planted_sections(spark, sf)[1]["performance"])
+
+
+@query
+def section_monthly_auc(spark, sf):
+    return rounded(_planted_sections(spark, sf)[1]["monthly_auc"])
+
+
+@query
+def section_early_vs_latest(spark, sf):
+    return rounded(_planted_sections(spark, sf)[1]["early_vs_latest_analysis"].withColumn("months", F.array_join("months", ",")))
+
+
+@query
+def section_bins(spark, sf):
+    return rounded(_planted_sections(spark, sf)[1]["bin_analysis"], 9)
+
+
+@query
+def section_psi(spark, sf):
+    return rounded(_planted_sections(spark, sf)[1]["psi_analysis"])
+
+
+# Summaries that merge
+
+
+@query
+def drift_store_psi(spark, sf):
+    """Rows added in three batches, one of them twice."""
+    parts = staged(spark, sf)
+    path = scratch_path(spark, "drift")
+    drift_store.start(parts.filled.filter(F.col("split") == "train").drop("split"), V.RISK, path, NUMERIC)
+    for batch in (0, 1, 2, 1):
+        drift_store.add(parts.filled.filter(F.col("risk_id") % 3 == batch), V.RISK, path, f"part-{batch}")
+    return rounded(drift_store.current(spark, path))
+
+
+@query
+def distinct_sketches(spark, sf):
+    """Whether the distinct values of united monthly sketches are within four deviations of the exact ones."""
+    rows = V.risk_orders(spark, sf).withColumn("month", F.date_format("partition_date", "yyyy-MM"))
+    names = ["total_price", "n_lines", "priority", "segment", "seg_signal"]
+    whole = sketches.distinct_counts(sketches.merged_distinct(sketches.distinct_sketches(rows, ["month"], names), []))
+    exact = rows.agg(*(F.count_distinct(F.col(c).cast("string")).alias(c) for c in names)).first()
+    wanted = F.create_map(*(x for c in names for x in (F.lit(c), F.lit(exact[c]))))[F.col("feature")]
+    near = F.abs(F.col("n_unique") - wanted) <= F.greatest(F.lit(1.0), 4 * sketches.distinct_error() * wanted)
+    return whole.select("feature", "n_rows", "n_valid", near.alias("within_error"))
+
+
+@query
+def stream_quantile_bins(spark, sf):
+    """Bins of a stream's windows from their sketches: whether counts are within the stated error of exact ones."""
+    scores = V.table(spark, sf, "events").select("ts", F.col("value").alias("score"), (F.col("event_type") == "purchase").cast("int").alias("label"))
+    stream = read_stream(spark, f"{sf}/events.parquet*", V.table(spark, sf, "events").schema).select(
+        "ts", F.col("value").alias("score"), F.when(F.col("event_type") == "purchase", 1).otherwise(0).alias("label"))
+    held = run_available(sketch_stream(stream, "ts", "score", "label", "7 days"), "stream_sketches", "complete")
+    bins = quantile_bins(held, 4)
+    inside = F.col("score").isNotNull() & (F.col("score") <= F.col("high")) & ((F.col("score") > F.col("low")) | ((F.col("bin") == 0) & (F.col("score") == F.col("low"))))
+    exact = bins.join(scores.withColumn("ts", F.col("ts").cast("timestamp")), (F.col("ts") >= F.col("window_start")) & (F.col("ts") < F.col("window_end")) & inside)
+    counted = exact.groupBy("window_start", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("p"))
+    near = (F.abs(F.col("count_population") - F.col("n")) <= F.col("error_rows") + 1) & (F.abs(F.col("count_positive") - F.col("p")) <= F.col("error_rows") + 1)
+    both = bins.join(counted, ["window_start", "bin"], "left").withColumn("near", F.coalesce(near, F.lit(False)))
+    found = both.groupBy("window_start").agg(F.max("bin").alias("last_bin"), F.every("near").alias("within_error"))
+    sizes = held.select("window_start", (F.col("count_population") + F.col("missing")).alias("n_rows"), "count_positive")
+    return sizes.join(found, "window_start").withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd"))
+
+
+@query
+def stream_requests(spark, sf):
+    """Events delivered twice, in files by day, a few of them late: scored once each, late ones set apart."""
+    leader = _event_model(spark, sf)
+    events = V.stream_events(spark, sf)
+    path = scratch_path(spark, "requests")
+    day = F.to_date("ts")
+    # File k holds the events of some days, half of them again, and every 97th event of ten days before.
+    days = events.select(day.alias("d")).distinct().orderBy("d").collect()
+    for k, lot in enumerate([days[i:i + 10] for i in range(0, len(days), 10)]):
+        mine = [r["d"] for r in lot]
+        rows = events.filter(day.isin(mine) & (F.col("event_id") % 97 != 0))
+        late = events.filter(day.isin([r["d"] for r in days[max(0, 10 * (k - 1)):10 * k]]) & (F.col("event_id") % 97 == 0))
+        rows.unionByName(rows.filter("event_id % 2 = 0")).unionByName(late).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = read_stream(spark, f"{path}/in", events.schema, max_files=1)
+    scores, late = score_requests(stream, leader.model, leader.features, ["event_id"], ["event_id"], "ts", f"{path}/out", "12 hours")
+    kind = lambda df, name: df.select("event_id", F.lit(name).alias("kind"))
+    return kind(scores, "scored").unionByName(kind(late, "late"))

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tabsift.functions.columns import col
+from tabsift.operators.encoding import SUFFIX, hashed_place, ordered_target_means
 from tabsift.operators.profile import (
     chi2_two_columns,
     contingency,
@@ -100,11 +101,26 @@ def _importances(model, features: list[str], spark) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
-def forest_importance(split: DataFrame, names: list[str], target: str) -> DataFrame:
-    """Importance of each feature in a small random forest on the training rows."""
-    rows = split.filter(F.col("split") == "train").select(*(col(c) for c in names), col(target).cast("double").alias("label__"))
-    forest = RandomForestClassifier(labelCol="label__", maxBins=tree_bins(rows, names), **FOREST)
-    model = Pipeline(stages=[*feature_stages(rows, names), forest]).fit(rows)
+def _learned_rows(split: DataFrame, names: list[str], target: str, order_by: list[str] | None) -> tuple[DataFrame, list[str]]:
+    """Training rows and the columns that stand for ``names``; with ``order_by`` text features are ordered target means."""
+    rows = split.filter(F.col("split") == "train")
+    inputs = list(names)
+    if order_by:
+        text = [c for c in names if isinstance(split.schema[c].dataType, T.StringType)]
+        rows = ordered_target_means(rows, text, target, hashed_place(order_by))
+        inputs = [f"{c}{SUFFIX}" if c in text else c for c in names]
+    return rows.select(*(col(c) for c in inputs), col(target).cast("double").alias("label__")), inputs
+
+
+def forest_importance(split: DataFrame, names: list[str], target: str, order_by: list[str] | None = None) -> DataFrame:
+    """Importance of each feature in a small random forest on the training rows.
+
+    Text features are indexed, which puts their categories on the driver; with ``order_by`` (the ids) they are target means
+    of the rows before in a hashed order instead, for any number of categories.
+    """
+    rows, inputs = _learned_rows(split, names, target, order_by)
+    forest = RandomForestClassifier(labelCol="label__", maxBins=tree_bins(rows, inputs), **FOREST)
+    model = Pipeline(stages=[*feature_stages(rows, inputs), forest]).fit(rows)
     return _importances(model, names, split.sparkSession)
 
 
@@ -188,12 +204,14 @@ def quick_filter(split: DataFrame, roles: Roles) -> DataFrame:
     return moments.filter(fit).select("feature", "missing_ratio", "variance")
 
 
-def boosted_importance(split: DataFrame, names: list[str], target: str, most: int | None = None) -> DataFrame:
+def boosted_importance(
+    split: DataFrame, names: list[str], target: str, most: int | None = None, order_by: list[str] | None = None
+) -> DataFrame:
     """Fallback ranking by a three-round boosted model: ``feature, importance``, positive only, best first; only
-    the first ``most`` if given."""
-    rows = split.filter(F.col("split") == "train").select(*(col(c) for c in names), col(target).cast("double").alias("label__"))
-    boosted = GBTClassifier(labelCol="label__", maxBins=tree_bins(rows, names), **BOOSTED)
-    model = Pipeline(stages=[*feature_stages(rows, names), boosted]).fit(rows)
+    the first ``most`` if given. ``order_by`` as in ``forest_importance``."""
+    rows, inputs = _learned_rows(split, names, target, order_by)
+    boosted = GBTClassifier(labelCol="label__", maxBins=tree_bins(rows, inputs), **BOOSTED)
+    model = Pipeline(stages=[*feature_stages(rows, inputs), boosted]).fit(rows)
     found = _importances(model, names, split.sparkSession)
     ranked = found.filter(F.col("importance") > 0).orderBy(F.desc("importance"), "feature")
     return ranked if most is None else ranked.limit(most)

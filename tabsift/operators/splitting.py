@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, functions as F
 
 from tabsift.functions.columns import col
 from tabsift.roles import Roles, Windows, month_of, within
 
+# Digits of a hash that are counted at once, and rows that are put in order without a further level.
+PREFIX_DIGITS, ORDERED_ROWS = 4, 4096
+
 
 def split_by_date(df: DataFrame, date: str, windows: Windows) -> DataFrame:
     """Tag rows ``train`` or ``oot``; rows in neither window are dropped.
@@ -58,19 +59,26 @@ def group_sizes(df: DataFrame, group: str, label: str, more_than: int = 10) -> D
 def sample_rows(df: DataFrame, n: int, keys: list[str], seed: int = 42) -> DataFrame:
     """The ``n`` rows with the smallest hash of ``keys``: the same rows on any cluster.
 
-    Off by default everywhere. ``keys`` should identify a row. The hash is an even
-    number in [0, 1), so a threshold a little above n / rows leaves about ``n``
-    rows for the final order; it is doubled until it leaves enough, so the
-    result is exact.
+    Off by default everywhere. ``keys`` should identify a row. Rows are counted by the first digits of their hash, and the
+    digits of the ``n``-th are found level by level; whole prefixes before it are taken by a filter, and only the few
+    rows that share its digits are put in order. No task sees more than its share of the ``n`` rows.
     """
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *(col(k).cast("string") for k in keys)))
-    unit = F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / float(2**48)
-    hashed = df.withColumn("__hash", digest).withColumn("__unit", unit)
-    total = df.count()
-    limit = 1.0
-    if total > n:
-        limit = (n + 6.0 * math.sqrt(n) + 16.0) / total
-        while limit < 1.0 and hashed.filter(F.col("__unit") < limit).count() < n:
-            limit *= 2.0
-    near = hashed if limit >= 1.0 else hashed.filter(F.col("__unit") < limit)
-    return near.orderBy("__hash", *(col(k) for k in keys)).limit(n).drop("__hash", "__unit")
+    hashed = df.withColumn("__hash", digest)
+    before, prefix = 0, ""
+    while True:
+        level = hashed.filter(F.col("__hash").startswith(prefix)).groupBy(
+            F.substring("__hash", 1, len(prefix) + PREFIX_DIGITS).alias("digits")).count()
+        counts = sorted(map(tuple, level.collect()))  # 16^PREFIX_DIGITS rows at most
+        if before + sum(c for _, c in counts) <= n:
+            return df  # only at the first level: later ones hold the n-th row
+        for digits, count in counts:
+            if before + count > n:
+                break
+            before += count
+        prefix = digits
+        if count <= ORDERED_ROWS or len(prefix) == 32:
+            break
+    sure = hashed.filter(F.col("__hash") < prefix)
+    last = hashed.filter(F.col("__hash").startswith(prefix)).orderBy("__hash", *(col(k) for k in keys)).limit(n - before)
+    return sure.unionByName(last).drop("__hash")

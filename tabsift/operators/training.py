@@ -16,12 +16,15 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tabsift.functions.columns import col
+from tabsift.operators.boosting import STOP_ROUNDS, STOP_TOLERANCE, patient_rounds
+from tabsift.operators.encoding import hashed_place
 from tabsift.operators.evaluation import auc, average_precision_by, f1_score
 from tabsift.roles import Roles
 
-# Metric names accepted, and the settings of early stopping.
+# Metric names accepted.
 METRICS = {"AUC": "areaUnderROC", "AUCPR": "areaUnderPR", "F1": "fMeasureByLabel"}
-STOP_TOLERANCE = 0.005
+# Rounds of boosted trees, and the most that early stopping looks at.
+ROUNDS, MOST_ROUNDS = 20, 40
 # Share of the rows that tell early stopping when to stop; the model is fitted on all rows afterwards.
 VALIDATION_SHARE = 0.1
 # Bins of a numeric feature in tree models; text features may need more.
@@ -86,11 +89,10 @@ def held_for_stopping(roles: Roles, share: float = VALIDATION_SHARE, seed: int =
     return place < int(share * 1_000_000)
 
 
-def candidates(seed: int = 42, early_stop: bool = False, bins: int = NUMERIC_BINS) -> list[tuple[str, Estimator]]:
+def candidates(seed: int = 42, rounds: int = ROUNDS, bins: int = NUMERIC_BINS) -> list[tuple[str, Estimator]]:
     """Models to try, in order."""
     common = {"featuresCol": "features", "labelCol": "label__", "weightCol": "class_weight"}
-    stop = {"validationIndicatorCol": "validation__", "validationTol": STOP_TOLERANCE} if early_stop else {}
-    boosted = GBTClassifier(maxIter=20, maxDepth=5, seed=seed, maxBins=bins, **stop, **common)
+    boosted = GBTClassifier(maxIter=rounds, maxDepth=5, seed=seed, maxBins=bins, **common)
     return [
         ("gradient_boosted_trees", boosted),
         (
@@ -103,16 +105,19 @@ def candidates(seed: int = 42, early_stop: bool = False, bins: int = NUMERIC_BIN
 
 @dataclass
 class Leader:
-    """Best model, its name, the feature order, and the leaderboard rows."""
+    """Best model, its name, the feature order, the leaderboard rows, and the curve that early stopping read."""
 
     name: str
     model: PipelineModel
     features: list[str]
     leaderboard: DataFrame
+    curve: DataFrame | None = None
 
 
-def training_rows(split: DataFrame, roles: Roles, features: list[str], folds: int, seed: int) -> DataFrame:
-    """Training rows with only the columns a model reads."""
+def training_rows(
+    split: DataFrame, roles: Roles, features: list[str], folds: int, seed: int, place: bool = False
+) -> DataFrame:
+    """Training rows with only the columns a model reads; ``place`` adds a place in [0, 1) apart from the folds."""
     rows = split.filter(F.col("split") == "train") if "split" in split.columns else split
     weighted = balance_classes(rows.filter(col(roles.target).isNotNull()), roles.target)
     return weighted.select(
@@ -121,6 +126,7 @@ def training_rows(split: DataFrame, roles: Roles, features: list[str], folds: in
         "class_weight",
         fold_of(roles, max(folds, 1), seed).alias("fold"),
         held_for_stopping(roles, seed=seed).alias("validation__"),
+        *([hashed_place(list(roles.ids), seed).alias("place__")] if place else []),
     )
 
 
@@ -132,16 +138,6 @@ def evaluator(metric: str):
     return BinaryClassificationEvaluator(labelCol="label__", metricName=name, numBins=0)
 
 
-def refit_all(pipeline: Pipeline, model: PipelineModel, rows: DataFrame) -> PipelineModel:
-    """The number of rounds that early stopping found, fitted on all rows; other models as they are."""
-    last = pipeline.getStages()[-1]
-    if not isinstance(last, GBTClassifier) or not last.isDefined("validationIndicatorCol"):
-        return model
-    full = last.copy().setMaxIter(model.stages[-1].getNumTrees)
-    full.clear(full.validationIndicatorCol)
-    return Pipeline(stages=[*pipeline.getStages()[:-1], full]).fit(rows)
-
-
 def train_leader(
     split: DataFrame,
     roles: Roles,
@@ -151,12 +147,16 @@ def train_leader(
     folds: int = 5,
     seed: int = 42,
     early_stop: bool = False,
+    patience: int = STOP_ROUNDS,
+    tolerance: float = STOP_TOLERANCE,
+    most_rounds: int = MOST_ROUNDS,
 ) -> Leader:
     """Fit up to ``max_models`` models and keep the best by cross-validated metric.
 
-    ``folds=0`` ranks by the metric on the training rows instead. With ``early_stop`` boosted trees stop when a
-    share of the rows (``VALIDATION_SHARE``, chosen apart from the folds) gets no better; the model that is kept has
-    that number of rounds and is fitted on all rows.
+    ``folds=0`` ranks by the metric on the training rows instead. With ``early_stop`` boosted trees are judged by the
+    metric after every round, up to ``most_rounds``, on a share of the rows (``VALIDATION_SHARE``, chosen apart from the
+    folds); after ``patience`` rounds without a gain of ``tolerance`` the best round so far is their number of rounds, and
+    models of that number are fitted as all others. The curve is part of the leader.
     """
     if metric.upper() not in METRICS:
         raise ValueError(f"unknown metric {metric!r}: use one of {sorted(METRICS)}")
@@ -166,19 +166,22 @@ def train_leader(
         raise ValueError("no features to train on")
     rows = training_rows(split, roles, features, folds, seed).persist()
     judge = evaluator(metric)
-    board, best = [], None
+    board, best, rounds, curve = [], None, ROUNDS, None
     try:
-        bins = tree_bins(rows, features)
-        for name, estimator in candidates(seed, early_stop, bins)[:max_models]:
-            pipeline = Pipeline(stages=[*feature_stages(rows, features), estimator])
+        bins, stages = tree_bins(rows, features), feature_stages(rows, features)
+        if early_stop:
+            boosted = dict(candidates(seed, most_rounds, bins))["gradient_boosted_trees"]
+            rounds, curve = patient_rounds(stages, boosted, rows, "validation__", "label__", metric, patience, tolerance)
+        for name, estimator in candidates(seed, rounds, bins)[:max_models]:
+            pipeline = Pipeline(stages=[*stages, estimator])
             if folds > 1:
                 cv = CrossValidator(
                     estimator=pipeline, estimatorParamMaps=ParamGridBuilder().build(), evaluator=judge,
                     numFolds=folds, foldCol="fold", seed=seed,
                 ).fit(rows)
-                model, score = refit_all(pipeline, cv.bestModel, rows), float(cv.avgMetrics[0])
+                model, score = cv.bestModel, float(cv.avgMetrics[0])
             else:
-                model = refit_all(pipeline, pipeline.fit(rows), rows)
+                model = pipeline.fit(rows)
                 score = float(judge.evaluate(model.transform(rows)))
             board.append((name, metric.upper(), score))
             if best is None or score > best[1]:
@@ -189,7 +192,7 @@ def train_leader(
     table = split.sparkSession.createDataFrame(
         [(i + 1, *r) for i, r in enumerate(board)], "place int, model string, metric string, score double"
     )
-    return Leader(best[0], best[2], list(features), table)
+    return Leader(best[0], best[2], list(features), table, curve)
 
 
 def model_performance(scored: DataFrame, label: str, score: str = "score") -> DataFrame:

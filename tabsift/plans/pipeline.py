@@ -16,6 +16,7 @@ from tabsift.sources.sinks import (
     log_run,
     read_stage,
     write_evaluation,
+    write_sections,
     write_feature_report,
     write_stage,
 )
@@ -65,6 +66,7 @@ def run_pipeline(
         scored=scored.drop("split"),
     )
     write_evaluation(sections, evaluated_at, f"{out}/evaluation")
+    write_sections(sections, evaluated_at, f"{out}/evaluation_sections")
     shapes = prepared.report.first()
     name = metric.lower()
     log_run(

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 
 def write_stage(df: DataFrame, path: str, by: str | None = "split", sort: str | None = None) -> None:
@@ -85,6 +88,38 @@ def write_evaluation(sections: dict[str, DataFrame], evaluated_at: str, path: st
     evaluation_json(sections, evaluated_at).coalesce(1).write.mode("overwrite").text(path)
 
 
+MANIFEST = "section string, n_rows long, path string, fields string, evaluated_at string"
+
+
+def write_sections(sections: dict[str, DataFrame], evaluated_at: str, path: str) -> None:
+    """The evaluation as folders of JSON lines, one per section, and a manifest written after all of them.
+
+    A section of any size is written by as many tasks as it has parts. Readers go by the manifest, so they see the
+    sections of a finished evaluation only; its rows name each section's fields, as JSON leaves out what is missing.
+    """
+    if not sections or not all(name.replace("_", "a").isalnum() for name in sections):
+        raise ValueError("sections are named by letters, digits and underscores")
+    spark = next(iter(sections.values())).sparkSession
+    rows = []
+    for name, table in sections.items():
+        table.write.mode("overwrite").json(f"{path}/sections/{name}")
+        fields = table.schema.json()
+        written = spark.read.schema(table.schema).json(f"{path}/sections/{name}").count()
+        rows.append((name, written, f"sections/{name}", fields, evaluated_at))
+    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
+
+
+def read_sections(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The sections that the manifest names; one whose rows are not as many as it says is an error."""
+    found = {}
+    for r in spark.read.schema(MANIFEST).json(f"{path}/manifest").collect():  # a row per section
+        table = spark.read.schema(StructType.fromJson(json.loads(r["fields"]))).json(f"{path}/{r['path']}")
+        if table.count() != r["n_rows"]:
+            raise ValueError(f"section {r['section']} does not have the {r['n_rows']} rows of its manifest")
+        found[r["section"]] = table
+    return found
+
+
 def run_rows(
     spark: SparkSession,
     run_id: str,
