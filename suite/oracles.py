@@ -393,7 +393,7 @@ SQL["numeric_stability"] = _with(_STABLE_NUM, """,
 inside as (
   select n.feature, 1 - count(*) filter (n.x between e.e[1] and e.e[len(e.e)]) / count(*) as s
   from num n join p_edges e using (feature) where split = 'oot' group by 1)
-select feature, round(stability, 6) as stability, round(s, 6) as out_of_range_share, round(corr, 6) as corr, keep
+select feature, coalesce(round(stability, 6), 'infinity'::double) as stability, round(s, 6) as out_of_range_share, round(corr, 6) as corr, keep
 from nstab join inside using (feature)""")
 _STABLE_TEXT = (
     _chi2("ct", "txt", "split = 'train'", "split = 'oot'", yates=False) + "," + _mi("m", "txt") + """,
@@ -681,6 +681,24 @@ SQL["batch_scores_agree"] = _with(RAW, "select risk_id, split, true as agrees fr
 SQL["saved_scores_agree"] = _with(RAW, "select risk_id, true as agrees from raw")
 SQL["stream_scores_agree"] = _with(RAW, "select risk_id, true as agrees from raw")
 
+# Models: what must hold for planted columns
+
+SQL["blend_given"] = _with(_SCORES, """,
+given(feature, importance) as (values ('total_price', 0.5::double), ('seg_signal', 0.25::double), ('acctbal', 0.25::double), ('unknown', 1.0::double))
+select feature, kind, round(stability, 6) as stability, round(target_score, 6) as target_score,
+  round(score * 0.6::double + coalesce(importance, 0) * 0.4::double, 6) as score
+from scores left join given using (feature)""")
+SQL["planted_importance"] = _with(FILLED, """,
+x as (
+  select 'told' as feature, label * 10.0::double + risk_id % 7 as v, label from filled where split = 'train' union all
+  select 'flat', 3.0::double, label from filled where split = 'train' union all
+  select 'acctbal', acctbal, label from filled where split = 'train' union all
+  select 'avg_disc', avg_disc, label from filled where split = 'train' union all
+  select 'priority', ascii(priority)::double, label from filled where split = 'train'),
+strength as (select feature, case when min(v) <> max(v) then abs(corr(v, label)) else 0 end as r from x group by 1)
+select model, feature, r = max(r) over () as is_first, true as flat_has_none
+from strength, (values ('forest'), ('boosted')) m(model)""")
+
 # Rounds of boosting, settings, and category means
 
 _ROUNDS = RISK + """,

@@ -399,9 +399,8 @@ def psi_train_oot(spark, sf):
 
 @query
 def numeric_stability(spark, sf):
-    return rounded(drift.numeric_stability(staged(spark, sf).filled, V.RISK).withColumn(
-        "stability", F.when(F.col("stability") < 1e9, F.col("stability"))
-    ))
+    # Infinite where an index has no meaning; compared as it is.
+    return rounded(drift.numeric_stability(staged(spark, sf).filled, V.RISK))
 
 
 @query
@@ -486,6 +485,31 @@ def forest_blend(spark, sf):
     return selection.join_importance(scores, selection.forest_importance(parts.filled, names, "label"))
 
 
+@query
+def blend_given(spark, sf):
+    """The blend of the statistical score with importances of a table; a feature that is not in it has none."""
+    parts = staged(spark, sf)
+    given = spark.createDataFrame([("total_price", 0.5), ("seg_signal", 0.25), ("acctbal", 0.25), ("unknown", 1.0)], "feature string, importance double")
+    blended = selection.join_importance(profile.settle(feature_scores(parts, V.RISK)), given)
+    return rounded(blended.select("feature", "kind", "stability", "target_score", "score"))
+
+
+@query
+def planted_importance(spark, sf):
+    """A column that tells the label is the most important of any model; columns that never vary have no importance."""
+    rows = splits(spark, sf).filled.withColumn("told", F.col("label") * 10.0 + F.col("risk_id") % 7).withColumn("flat", F.lit(3.0))
+    names, out = ["told", "flat", "acctbal", "avg_disc", "priority"], None
+    for name, found in (("forest", selection.forest_importance(rows, names, "label")), ("boosted", selection.boosted_importance(rows, names, "label"))):
+        best = found.agg(F.max("importance").alias("best"))
+        marked = splits(spark, sf).filled.sparkSession.createDataFrame([(c,) for c in names], "feature string").join(found, "feature", "left").join(F.broadcast(best))
+        facts = marked.select(
+            F.lit(name).alias("model"), "feature", (F.coalesce(F.col("importance") == F.col("best"), F.lit(False))).alias("is_first"),
+            (F.col("feature") != "flat") | (F.coalesce("importance", F.lit(0.0)) == 0.0).alias("flat_has_none"))
+        facts = facts.toDF("model", "feature", "is_first", "flat_has_none")
+        out = facts if out is None else out.unionByName(facts)
+    return out
+
+
 @query
 def boosted_importance(spark, sf):
     parts = splits(spark, sf)

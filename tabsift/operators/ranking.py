@@ -1,7 +1,8 @@
 """Order statistics over whole columns without a whole column in one task.
 
-Every value column is cut into buckets at sampled quantiles of its distinct
-values. The cuts only balance the work; no result depends on where they fall.
+Every value column is cut into buckets at its approximate quantiles, read from one
+mergeable sketch per column. The cuts only balance the work; no result depends on
+where they fall.
 From there:
 
 * quantiles need the bucket counts (a small aggregate) and then only the rows
@@ -25,7 +26,8 @@ from tabsift.functions.columns import col, ratio
 # the number of (column, bucket) rows that are broadcast per group.
 CUT_BUDGET = 65536
 MAX_BUCKETS = 16384
-SAMPLE_FRACTION = 0.02
+# Size of the sketch of a column for each bucket; more than this many values per bucket change little.
+SKETCH_PER_BUCKET, LEAST_SKETCH, LARGEST_SKETCH = 4, 256, 65535
 COLUMNS_PER_STACK = 100
 
 
@@ -53,26 +55,29 @@ def _number(name: str) -> Column:
     return col(name).cast("double") + F.lit(0.0)
 
 
-def bucket_cuts(
-    df: DataFrame, values: list[str], fraction: float = SAMPLE_FRACTION, seed: int = 42
-) -> dict[str, list[float]]:
-    """Sampled cut points per column. One job; its result is bounded by CUT_BUDGET."""
+def bucket_cuts(df: DataFrame, values: list[str]) -> dict[str, list[float]]:
+    """Cut points per column at its quantiles. One pass, in which a task leaves a sketch of bounded size per column;
+    the result is bounded by CUT_BUDGET. A value that fills several buckets is one cut."""
     # Four buckets per shuffle task: a cluster set up for more data gets finer cuts.
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(16, min(MAX_BUCKETS, CUT_BUDGET // len(values), max(32, 4 * tasks)))
     probs = [i / buckets for i in range(1, buckets)]
-    sample = stacked(
-        df.select(*(col(v) for v in values)).sample(fraction=fraction, seed=seed),
-        [], {v: [_number(v)] for v in values}, ["value"],
-    ).filter(F.col("value").isNotNull())
-    rows = (
-        sample.distinct()
-        .groupBy("feature")
-        .agg(F.percentile_approx("value", probs, 4 * buckets).alias("cuts"))
-        .collect()
-    )
-    cuts = {r["feature"]: sorted(set(r["cuts"])) for r in rows}
-    return {v: cuts.get(v) or [0.0] for v in values}
+    size = max(LEAST_SKETCH, min(LARGEST_SKETCH, SKETCH_PER_BUCKET * buckets))
+    places = F.array(*(F.lit(p) for p in probs))
+    cuts: dict[str, list[float]] = {}
+    for at in range(0, len(values), COLUMNS_PER_STACK):
+        # Some columns share an aggregate, which reads only those; more would outgrow compiled code.
+        part = values[at:at + COLUMNS_PER_STACK]
+        numbers = [_number(v) for v in part]
+        present = [F.when(~F.isnan(x), x) for x in numbers]
+        held = df.agg(
+            *(F.count(x).alias(f"n{i}") for i, x in enumerate(present)),
+            *(F.kll_sketch_agg_double(x, size).alias(f"s{i}") for i, x in enumerate(present)))
+        # A sketch of no values has no quantiles.
+        found = held.select(*(
+            F.when(F.col(f"n{i}") > 0, F.kll_sketch_get_quantile_double(f"s{i}", places)).alias(f"q{i}") for i in range(len(part)))).first()
+        cuts |= {v: sorted(set(found[f"q{i}"] or [])) for i, v in enumerate(part)}
+    return {v: cuts[v] or [0.0] for v in values}
 
 
 def cut_stacked(df: DataFrame, keys: list[str], cuts: dict[str, list[float]]) -> DataFrame:
