@@ -786,7 +786,7 @@ r as (select period, score, label from sc join pd using (month)),""" + _auc("r",
 ml as (select period, string_agg(month, ',' order by month) as months from pd group by 1)""",
     f"{_judged('period')}, months, {_ERROR} from au join ml using (period)",
 )
-SQL["section_bins"] = _with(_SCORED + "src as (select month, label, score as s from sc)," + _bins("src", "month", 10), _bin_columns("month", 9))
+SQL["section_bins"] = _with(_SCORED + "src as (select month, label, score as s from sc)," + _bins("src", "month", 10), _bin_columns("month", 12))
 SQL["section_psi"] = f"select * from ({SQL['monthly_psi']}) union all select * from ({SQL['monthly_category_psi']})"
 SQL["evaluation_manifest"] = f"""
 with s as (

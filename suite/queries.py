@@ -909,7 +909,7 @@ def section_early_vs_latest(spark, sf):
 
 @query
 def section_bins(spark, sf):
-    return rounded(_planted_sections(spark, sf)[1]["bin_analysis"], 9)
+    return rounded(_planted_sections(spark, sf)[1]["bin_analysis"], 12)
 
 
 @query
