@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import math
+import random
 from collections import defaultdict
 
 import numpy as np
@@ -275,6 +276,48 @@ def test_byte_bpe(docs, odd, tiktoken_library):
     assert all(r["decoded"] == r["wanted"] for r in back.collect())
 
 
+def test_long_words(tiktoken_library, monkeypatch):
+    rng = random.Random(3)
+    several = lambda parts, n: "".join(rng.choice(parts) for _ in range(n))
+    parts = ["an", "a", "the", "ing", "aa", "in", "st", "tion", "er", "es", "re", "e", "s", "t"]
+    words = {several([chr(c) for c in range(0x4E00, 0x5000)], 60) for _ in range(50)}
+    words |= {several("abcdefghijklmnopqrstuvwxyz", n) for n in (97, 120, 5_000)} | {several(parts, 3_000), "a" * 20_001, "-" * 5_000}
+    words |= {several(rng.sample(parts, k), rng.randrange(3, 60)) for k in (2, 4, 12) for _ in range(200)}
+    ranks = byte_bpe.Ranks(open(RANKS, "rb").read())
+    for bound, whole in ((byte_bpe.LONG_WORD, False), (3, False), (3, True)):  # then also short words as long ones, uncut
+        monkeypatch.setattr(byte_bpe, "LONG_WORD", bound)
+        merger = byte_bpe.Merger(ranks)
+        if whole:
+            merger.cut = lambda raw: [raw]
+        merger.learn(words)
+        for word in words:
+            assert np.frombuffer(merger.ids[word], "<u4").tolist() == tiktoken_library.encode_ordinary(word), word[:80]
+            assert merger.text[word] == word.encode()
+
+
+def test_words_are_cut_where_no_token_reaches():
+    ranks = byte_bpe.Ranks(open(RANKS, "rb").read())
+    merger = byte_bpe.Merger(ranks)
+    tokens = list(merger.rank)
+    raw = "中文字符qzxjthe".encode() * 3
+    pieces = merger.cut(raw)
+    assert b"".join(pieces) == raw and len(pieces) > 3
+    for a, b in zip(pieces, pieces[1:]):
+        assert not any(a[-1:] + b[:1] in t for t in tokens)
+
+
+def test_decoding_in_runs(spark, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "DECODED", 3)
+    ids = [list(range(300, 300 + n)) for n in (7, 0, 1, 3, 9, 2)]
+    rows = [(i, np.array(v, "<u4").tobytes(), "own") for i, v in enumerate(ids)] + [(9, None, "own")]
+    df = spark.createDataFrame(rows, "doc_id long, token_ids binary, decoded string")
+    token = {int(b): base64.b64decode(a) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    got = {r["doc_id"]: bytes(r["decoded"]) for r in byte_bpe.decode(df, RANKS).collect()}
+    assert got == {9: b""} | {i: b"".join(token[x] for x in v) for i, v in enumerate(ids)}
+    with pytest.raises(Exception, match="not in the vocabulary"):
+        byte_bpe.decode(spark.createDataFrame([(np.array([5, 4_000_000], "<u4").tobytes(),)], "token_ids binary"), RANKS).collect()
+
+
 def test_query_digests(spark, sf, docs, tiktoken_library):
     got = {r["doc_id"]: r for r in QUERIES["op5_byte_bpe"](spark, sf).collect()}
     for i, text in pairs_of(docs)[:50]:
