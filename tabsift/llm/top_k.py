@@ -1,10 +1,12 @@
 """Exact top-k search by inner product with MaxScore pruning.
 
 A query's terms are the components, a posting list is one component of all vectors of a shard. The largest product
-that a term can give inside a shard bounds it. Terms go by falling bound: the first ones are essential, their
-postings are read in full; as soon as the bounds of the rest can't lift a vector past the query's k-th best score,
-it is out, and only competitive vectors are probed for further terms. Shards and blocks of queries meet in pairs of
-bounded size; the k best of each shard are merged.
+that a term can give inside a shard bounds it; terms go by falling bound. Vectors come in blocks. Those terms are
+essential whose successors' bounds together reach the k-th best score so far: their postings are read in full. The
+other terms alone can't lift a vector to that score, so they are probed only for vectors that are still competitive.
+Finished vectors raise the k-th best score, and with it the split, for the blocks that follow. A first round of shards
+hands each query's k-th best score to the rest of them. Blocks of queries and shards meet in pairs of bounded size;
+the k best of each shard are merged.
 """
 
 from __future__ import annotations
@@ -19,8 +21,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabsift.llm.common import staged
 
-#: Vectors of a shard, queries of a block, vectors that set the first threshold, and terms read at a time.
-SHARD_ROWS, QUERY_ROWS, SEED_ROWS, STEP = 8_192, 2_048, 256, 8
+#: Vectors of a shard, bytes of the queries that meet it at once, vectors of the first and of the largest block, and
+#: non-essential terms probed at a time.
+SHARD_ROWS, QUERY_BYTES, BLOCK_ROWS, LARGEST_BLOCK, STEP = 8_192, 16_000_000, 256, 2_048, 8
+#: Of so many shards one is searched in the first round.
+FIRST_ROUND = 8
 #: Whole numbers up to here are exact as doubles.
 EXACT = 2**53
 
@@ -69,76 +74,113 @@ def _exact(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return np.array([max(-(2**63), min(2**63 - 1, s)) for s in scores], np.int64)
 
 
+def max_score(
+    query: np.ndarray, postings: np.ndarray, ids: np.ndarray, own: int, k: int, needed: float = -np.inf,
+    trace: list | None = None,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places and scores of the k best vectors but the one with id ``own``, among those with a score of ``needed`` or more.
+
+    ``trace`` gets per block: vectors, essential terms, postings probed beyond these, k-th best score before the block.
+    """
+    bounds = np.maximum(query * postings.max(1), query * postings.min(1))
+    order = np.argsort(-bounds, kind="stable")
+    rest = np.append(np.cumsum(bounds[order][::-1])[::-1], 0.0)  # what the terms from here on can add at most
+    q = query[order]
+    places, scores = np.empty(0, np.int64), np.empty(0)
+    begin, rows = 0, BLOCK_ROWS
+    while begin < len(ids):
+        block = slice(begin, begin + rows)
+        # Essential are the terms up to the last one from which on the bounds still reach the score.
+        reaching = np.flatnonzero(rest[:-1] >= needed)
+        essential = int(reaching[-1]) + 1 if len(reaching) else 0
+        terms = order[:essential]
+        partial = q[:essential] @ postings[terms, block]
+        alive = np.flatnonzero((partial + rest[essential] >= needed) & (ids[block] != own))
+        partial, probed = partial[alive], 0
+        for at in range(essential, len(q), STEP):
+            if not len(alive):
+                break
+            some = order[at:at + STEP]
+            partial = partial + q[at:at + STEP] @ postings[np.ix_(some, begin + alive)]
+            probed += len(some) * len(alive)
+            stay = partial + rest[at + len(some)] >= needed
+            alive, partial = alive[stay], partial[stay]
+        if trace is not None:
+            trace.append((len(ids[block]), essential, probed, needed))
+        places, scores = np.append(places, begin + alive), np.append(scores, partial)
+        best = _best(scores, ids[places], k)
+        places, scores = places[best], scores[best]
+        if len(scores) == k:
+            needed = max(needed, scores[-1])
+        begin, rows = begin + rows, min(2 * rows, LARGEST_BLOCK)
+    return places, scores
+
+
 def search_shard(queries: pd.DataFrame, shard: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k best vectors of a shard for each query, but those with the query's own id."""
-    shard = shard.sort_values("vec_id", kind="stable")
+    """The k best vectors of a shard for each query, but those with the query's own id or below the query's ``floor``."""
+    shard = shard.loc[shard.index.repeat(shard["copies"])].sort_values("vec_id", kind="stable")
     ids, whole, asked = shard["vec_id"].to_numpy(), _matrix(shard), _matrix(queries)
     found: list[tuple] = []
     top = [max(abs(int(m.max(initial=0))), abs(int(m.min(initial=0)))) for m in (whole, asked)]
     small = top[0] * top[1] * whole.shape[1] < EXACT
     postings = np.ascontiguousarray(whole.T.astype(float))
-    high, low = postings.max(1), postings.min(1)
-    for vec_id, key, query in zip(queries["vec_id"].tolist(), queries["key"].tolist(), asked):
-        others = ids != vec_id
-        if not small:
-            scores = _exact(query, whole[others])
-            best = _best(scores, ids[others], k)
-            found += [(vec_id, key, int(i), int(s)) for i, s in zip(ids[others][best], scores[best])]
-            continue
-        q = query.astype(float)
-        bounds = np.maximum(q * high, q * low)
-        order = np.argsort(-bounds, kind="stable")
-        rest = np.append(np.cumsum(bounds[order][::-1])[::-1], 0.0)  # what the terms from here on can add
-        seed = q @ postings[:, :SEED_ROWS]
-        seed = seed[others[:SEED_ROWS]]
-        needed = np.partition(seed, -k)[-k] if len(seed) >= k else -np.inf
-        alive = np.flatnonzero(others)
-        partial = np.zeros(len(alive))
-        everyone = len(alive) == len(ids)
-        for at in range(0, len(q), STEP):
-            terms = order[at:at + STEP]
-            if len(alive) * 4 > len(ids):  # essential: read the postings in full
-                partial = partial + (q[terms] @ postings[terms])[slice(None) if everyone else alive]
-            else:  # probe the competitive ones
-                partial = partial + q[terms] @ postings[np.ix_(terms, alive)]
-            stay = partial + rest[min(at + STEP, len(q))] >= needed
-            if not stay.all():
-                alive, partial, everyone = alive[stay], partial[stay], False
-        best = _best(partial, ids[alive], k)
-        found += [(vec_id, key, int(i), int(s)) for i, s in zip(ids[alive][best], partial[best])]
+    floors = queries["floor"].astype(float).fillna(-np.inf).tolist()
+    for vec_id, key, query, floor in zip(queries["vec_id"].tolist(), queries["key"].tolist(), asked, floors):
+        if small:
+            best, scores = max_score(query.astype(float), postings, ids, vec_id, k, floor)
+        else:
+            others = np.flatnonzero(ids != vec_id)
+            exact = _exact(query, whole[others])
+            some = _best(exact, ids[others], k)
+            best, scores = others[some], exact[some]
+        found += [(vec_id, key, int(i), int(s)) for i, s in zip(ids[best], scores)]
     return pd.DataFrame(found, columns=["query_id", "key", "vec_id", "score"])
 
 
 def top_k(
     vectors: DataFrame, is_query: Column, *, k: int = 5, id_col: str = "vec_id", vector: str = "embedding",
-    scale: float = 256.0, shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS,
+    scale: float = 256.0, shard_rows: int = SHARD_ROWS, query_rows: int | None = None,
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k highest inner products of each query with all other rows.
 
     ``is_query`` is a condition on vec_id. Components become floor(scale * x). Ties go to the smaller id. Vectors
     that can't take part (see ``whole_vectors``) are neither asked nor found; lengths must agree to meet. Rows of
     the query's id are never its results; repeated query rows count once if equal, and are asked on their own if
-    not. Fewer other rows than k give all of them; an empty table gives no rows.
+    not. Fewer other rows than k give all of them; an empty table gives no rows. A block of queries has
+    ``query_rows``, by default what QUERY_BYTES hold of the longest vectors; each shard is sent once per block.
     """
-    rows = staged(whole_vectors(vectors, id_col=id_col, vector=vector, scale=scale), "whole-vectors")
-    queries = rows.where(is_query).dropDuplicates().withColumn("key", F.xxhash64("terms"))
-    many = rows.groupBy().agg(F.count(F.lit(1)), F.count(F.when(is_query, 1))).first()
-    shards, blocks = (max(1, math.ceil(n / size)) for n, size in zip(many, (shard_rows, query_rows)))
-    place = lambda col, n: F.pmod(F.xxhash64(F.lit(1), col), F.lit(n)).cast("int")
+    # Of equal rows no more than k can be among the results: a much repeated row burdens no shard.
+    rows = staged(whole_vectors(vectors, id_col=id_col, vector=vector, scale=scale).groupBy("vec_id", "dim", "terms").agg(
+        F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("copies")), "whole-vectors")
+    queries = rows.where(is_query).drop("copies").withColumn("key", F.xxhash64("terms"))
+    vectors_, queries_, longest = rows.groupBy().agg(
+        F.count(F.lit(1)), F.count(F.when(is_query, 1)), F.coalesce(F.max("dim"), F.lit(1))).first()
+    shards = max(1, math.ceil(vectors_ / shard_rows))
+    blocks = max(1, math.ceil(queries_ / (query_rows or max(1, QUERY_BYTES // (8 * longest)))))
+    first = max(1, shards // FIRST_ROUND)
     # The place in a shard must not depend on the id alone: one id may be on many rows.
-    dealt = rows.select("*", F.pmod(F.xxhash64("vec_id", "terms"), F.lit(shards)).cast("int").alias("shard"),
+    dealt = rows.select("vec_id", "dim", "terms", "copies", F.pmod(F.xxhash64("vec_id", "terms"), F.lit(shards)).cast("int").alias("shard"),
                         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    asked = queries.select("*", place("vec_id", blocks).alias("block"),
-                           F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+    placed = queries.withColumn("block", F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(blocks)).cast("int"))
+    keys = ["shard", "block", "dim"]
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "key", "vec_id", "score")})
         return search_shard(left, right, k)
 
-    keys = ["shard", "block", "dim"]
-    found = asked.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInPandas(
-        search, "query_id long, key long, vec_id long, score long")
+    def searched(asked: DataFrame, begin: int, end: int) -> DataFrame:
+        sent = asked.withColumn("shard", F.explode(F.sequence(F.lit(begin), F.lit(end - 1))))
+        met = dealt.where(F.col("shard").between(begin, end - 1)).toDF(*dealt.columns)  # columns of its own: both sides are of ``rows``
+        return sent.groupBy(*keys).cogroup(met.groupBy(*keys)).applyInPandas(
+            search, "query_id long, key long, vec_id long, score long")
+
     best = Window.partitionBy("query_id", "key").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score")
+    ranked = lambda found: found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    found = ranked(searched(placed.withColumn("floor", F.lit(None).cast("long")), 0, first))
+    if first < shards:
+        found = staged(found, "first-shards")
+        floors = found.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), "key", F.col("score").alias("floor"))
+        later = searched(placed.join(floors, ["vec_id", "key"], "left"), first, shards)
+        found = ranked(found.drop("rank").unionByName(later))
+    return found.select("query_id", "rank", "vec_id", "score")

@@ -140,3 +140,36 @@ def test_pruning_keeps_ties_and_order(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)
     got = sorted(map(tuple, top_k.top_k(df, F.col("vec_id") % 50 == 0, shard_rows=400).collect()))
     assert got == plain_top(rows, 5)
+
+
+def test_threshold_rises_and_spares_postings():
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(40, 64))
+    vectors = np.floor(64 * (centres[rng.integers(0, 40, 6000)] + 0.1 * rng.normal(size=(6000, 64))))
+    ids, postings = np.arange(6000), np.ascontiguousarray(vectors.T)
+    for at in (0, 3000, 5999):
+        scores = vectors @ vectors[at]
+        wanted = sorted((-s, i) for i, s in zip(ids.tolist(), scores.tolist()) if i != at)[:5]
+        trace = []
+        places, found = top_k.max_score(vectors[at], postings, ids, at, 5, trace=trace)
+        assert [(-s, i) for i, s in zip(places.tolist(), found.tolist())] == wanted
+        rows, essential, probed, needed = (list(c) for c in zip(*trace))
+        assert sum(rows) == 6000 and needed == sorted(needed) and needed[0] == -np.inf
+        assert essential == sorted(essential, reverse=True) and essential[0] == 64 > essential[-1]
+        rest = [n * (64 - e) for n, e in zip(rows, essential)]
+        assert sum(probed) < sum(rest) / 2
+        # The best score of other shards spares the first block as well; results at or above it stay, ties included.
+        later = []
+        places, found = top_k.max_score(vectors[at], postings, ids, at, 5, -wanted[2][0], trace=later)
+        assert [(-s, i) for i, s in zip(places.tolist(), found.tolist())] == [w for w in wanted if w[0] <= wanted[2][0]]
+        assert later[0][1] < 64 and all(a[3] >= b[3] and a[1] <= b[1] for a, b in zip(later, trace))
+
+
+def test_rounds_of_shards_and_repeated_rows(spark):
+    rng = np.random.default_rng(12)
+    rows = [(i, rng.integers(-2, 3, 12).astype(float).tolist(), 1) for i in range(300)]
+    rows += [rows[7]] * 40 + [rows[50]] * 3 + [(100, [1.0] * 12, 1), (100, [2.0] * 12, 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)
+    for options in ({"shard_rows": 10}, {"shard_rows": 10, "query_rows": 2}, {"k": 400, "shard_rows": 10}):
+        got = sorted(map(tuple, top_k.top_k(df, F.col("vec_id") % 50 == 0, **options).collect()))
+        assert got == plain_top(rows, options.get("k", 5))
