@@ -2,8 +2,8 @@
 
 A query's terms are the components, a posting list is one component of all vectors of a shard. The largest product
 that a term can give inside a shard bounds it; terms go by falling bound. Vectors come in blocks. Those terms are
-essential whose successors' bounds together reach the k-th best score so far: their postings are read in full. The
-other terms alone can't lift a vector to that score, so they are probed only for vectors that are still competitive.
+essential whose successors' bounds together reach the k-th best score so far: their postings are read in full, for
+many queries by one product (a term that is not essential to a query has no weight there). The other terms alone can't lift a vector to that score, so they are probed only for vectors that are still competitive.
 Finished vectors raise the k-th best score, and with it the split, for the blocks that follow. A first round of shards
 hands each query's k-th best score to the rest of them. Blocks of queries and shards meet in pairs of bounded size;
 the k best of each shard are merged.
@@ -21,9 +21,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabsift.llm.common import staged
 
-#: Vectors of a shard, bytes of the queries that meet it at once, vectors of the first and of the largest block, and
-#: non-essential terms probed at a time.
-SHARD_ROWS, QUERY_BYTES, BLOCK_ROWS, LARGEST_BLOCK, STEP = 8_192, 16_000_000, 256, 2_048, 8
+#: Vectors of a shard, bytes of the queries that meet it, queries that read postings together, vectors of the first
+#: and of the largest block, and non-essential terms probed at a time.
+SHARD_ROWS, QUERY_BYTES, TOGETHER, BLOCK_ROWS, LARGEST_BLOCK, STEP = 8_192, 16_000_000, 256, 256, 2_048, 8
 #: Of so many shards one is searched in the first round.
 FIRST_ROUND = 8
 #: Whole numbers up to here are exact as doubles.
@@ -75,45 +75,52 @@ def _exact(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 def max_score(
-    query: np.ndarray, postings: np.ndarray, ids: np.ndarray, own: int, k: int, needed: float = -np.inf,
+    queries: np.ndarray, postings: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int, floors: np.ndarray,
     trace: list | None = None,
-) -> tuple[np.ndarray, np.ndarray]:
-    """Places and scores of the k best vectors but the one with id ``own``, among those with a score of ``needed`` or more.
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per query the places and scores of the k best vectors but those with id ``own``, of those that reach ``floors``.
 
-    ``trace`` gets per block: vectors, essential terms, postings probed beyond these, k-th best score before the block.
+    ``trace`` gets per block: its vectors, and by query the essential terms, the postings probed beyond these, and the
+    k-th best score before the block.
     """
-    bounds = np.maximum(query * postings.max(1), query * postings.min(1))
-    order = np.argsort(-bounds, kind="stable")
-    rest = np.append(np.cumsum(bounds[order][::-1])[::-1], 0.0)  # what the terms from here on can add at most
-    q = query[order]
-    places, scores = np.empty(0, np.int64), np.empty(0)
+    bounds = np.maximum(queries * postings.max(1), queries * postings.min(1))
+    order = np.argsort(-bounds, axis=1, kind="stable")
+    falling = np.take_along_axis(bounds, order, 1)
+    # What the terms from here on can add at most.
+    rest = np.append(np.cumsum(falling[:, ::-1], 1)[:, ::-1], np.zeros((len(queries), 1)), 1)
+    turn = np.argsort(order, axis=1)
+    dim, needed = queries.shape[1], floors.copy()
+    found = [(np.empty(0, np.int64), np.empty(0))] * len(queries)
     begin, rows = 0, BLOCK_ROWS
     while begin < len(ids):
         block = slice(begin, begin + rows)
         # Essential are the terms up to the last one from which on the bounds still reach the score.
-        reaching = np.flatnonzero(rest[:-1] >= needed)
-        essential = int(reaching[-1]) + 1 if len(reaching) else 0
-        terms = order[:essential]
-        partial = q[:essential] @ postings[terms, block]
-        alive = np.flatnonzero((partial + rest[essential] >= needed) & (ids[block] != own))
-        partial, probed = partial[alive], 0
-        for at in range(essential, len(q), STEP):
-            if not len(alive):
-                break
-            some = order[at:at + STEP]
-            partial = partial + q[at:at + STEP] @ postings[np.ix_(some, begin + alive)]
-            probed += len(some) * len(alive)
-            stay = partial + rest[at + len(some)] >= needed
-            alive, partial = alive[stay], partial[stay]
+        reaching = rest[:, :-1] >= needed[:, None]
+        essential = np.where(reaching.any(1), dim - np.argmax(reaching[:, ::-1], 1), 0)
+        partial = np.where(turn < essential[:, None], queries, 0.0) @ postings[:, block]
+        least = needed - rest[np.arange(len(queries)), essential]
+        alive = (partial >= least[:, None]) & (ids[block] != own[:, None])
+        probed, before = np.zeros(len(queries), np.int64), needed.copy()
+        for i in np.flatnonzero(alive.any(1)).tolist():
+            places = np.flatnonzero(alive[i])
+            scores = partial[i, places]
+            for at in range(int(essential[i]), dim, STEP):
+                some = order[i, at:at + STEP]
+                scores = scores + queries[i, some] @ postings[np.ix_(some, begin + places)]
+                probed[i] += len(some) * len(places)
+                stay = scores + rest[i, at + len(some)] >= needed[i]
+                places, scores = places[stay], scores[stay]
+                if not len(places):
+                    break
+            places, scores = np.append(found[i][0], begin + places), np.append(found[i][1], scores)
+            best = _best(scores, ids[places], k)
+            found[i] = places[best], scores[best]
+            if len(best) == k:
+                needed[i] = max(needed[i], scores[best[-1]])
         if trace is not None:
-            trace.append((len(ids[block]), essential, probed, needed))
-        places, scores = np.append(places, begin + alive), np.append(scores, partial)
-        best = _best(scores, ids[places], k)
-        places, scores = places[best], scores[best]
-        if len(scores) == k:
-            needed = max(needed, scores[-1])
+            trace.append((len(ids[block]), essential, probed, before))
         begin, rows = begin + rows, min(2 * rows, LARGEST_BLOCK)
-    return places, scores
+    return found
 
 
 def search_shard(queries: pd.DataFrame, shard: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -123,17 +130,21 @@ def search_shard(queries: pd.DataFrame, shard: pd.DataFrame, k: int) -> pd.DataF
     found: list[tuple] = []
     top = [max(abs(int(m.max(initial=0))), abs(int(m.min(initial=0)))) for m in (whole, asked)]
     small = top[0] * top[1] * whole.shape[1] < EXACT
-    postings = np.ascontiguousarray(whole.T.astype(float))
-    floors = queries["floor"].astype(float).fillna(-np.inf).tolist()
-    for vec_id, key, query, floor in zip(queries["vec_id"].tolist(), queries["key"].tolist(), asked, floors):
-        if small:
-            best, scores = max_score(query.astype(float), postings, ids, vec_id, k, floor)
-        else:
+    names, keys = queries["vec_id"].to_numpy(), queries["key"].tolist()
+    if small:
+        postings = np.ascontiguousarray(whole.T.astype(float))
+        floors = queries["floor"].astype(float).fillna(-np.inf).to_numpy()
+        for begin in range(0, len(asked), TOGETHER):
+            some = slice(begin, begin + TOGETHER)
+            hits = max_score(asked[some].astype(float), postings, ids, names[some], k, floors[some])
+            for vec_id, key, (best, scores) in zip(names[some].tolist(), keys[some], hits):
+                found += [(vec_id, key, int(i), int(s)) for i, s in zip(ids[best], scores)]
+    else:
+        for vec_id, key, query in zip(names.tolist(), keys, asked):
             others = np.flatnonzero(ids != vec_id)
             exact = _exact(query, whole[others])
-            some = _best(exact, ids[others], k)
-            best, scores = others[some], exact[some]
-        found += [(vec_id, key, int(i), int(s)) for i, s in zip(ids[best], scores)]
+            best = _best(exact, ids[others], k)
+            found += [(vec_id, key, int(i), int(s)) for i, s in zip(ids[others][best], exact[best])]
     return pd.DataFrame(found, columns=["query_id", "key", "vec_id", "score"])
 
 

@@ -151,18 +151,21 @@ def test_threshold_rises_and_spares_postings():
         scores = vectors @ vectors[at]
         wanted = sorted((-s, i) for i, s in zip(ids.tolist(), scores.tolist()) if i != at)[:5]
         trace = []
-        places, found = top_k.max_score(vectors[at], postings, ids, at, 5, trace=trace)
+        search = lambda floor, trace: top_k.max_score(
+            vectors[[at]], postings, ids, ids[[at]], 5, np.array([floor]), trace=trace)
+        places, found = search(-np.inf, trace)[0]
         assert [(-s, i) for i, s in zip(places.tolist(), found.tolist())] == wanted
-        rows, essential, probed, needed = (list(c) for c in zip(*trace))
+        rows, essential, probed, needed = zip(*((n, int(e[0]), int(p[0]), float(s[0])) for n, e, p, s in trace))
+        essential, needed = list(essential), list(needed)
         assert sum(rows) == 6000 and needed == sorted(needed) and needed[0] == -np.inf
         assert essential == sorted(essential, reverse=True) and essential[0] == 64 > essential[-1]
         rest = [n * (64 - e) for n, e in zip(rows, essential)]
         assert sum(probed) < sum(rest) / 2
         # The best score of other shards spares the first block as well; results at or above it stay, ties included.
         later = []
-        places, found = top_k.max_score(vectors[at], postings, ids, at, 5, -wanted[2][0], trace=later)
+        places, found = search(-wanted[2][0], later)[0]
         assert [(-s, i) for i, s in zip(places.tolist(), found.tolist())] == [w for w in wanted if w[0] <= wanted[2][0]]
-        assert later[0][1] < 64 and all(a[3] >= b[3] and a[1] <= b[1] for a, b in zip(later, trace))
+        assert later[0][1] < 64 and all(a[3][0] >= b[3][0] and a[1][0] <= b[1][0] for a, b in zip(later, trace))
 
 
 def test_rounds_of_shards_and_repeated_rows(spark):
