@@ -354,15 +354,26 @@ def _derive(part: pd.DataFrame, percent: int) -> pd.DataFrame:
 
 
 def derived_links(answers: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
-    """(a, b): links between classes of one leader, from their answers with it; large groups go by pairs of blocks."""
+    """(a, b): links between classes of one leader, from their answers with it.
+
+    Classes that link to the leader are one component with it, so no pair of these is derived: a group of near copies
+    costs nothing, however large. Classes that do not link to it meet each other and those that do, by pairs of blocks;
+    their blocks come first.
+    """
     mine = answers.select(
         F.col("b").alias("leader"), F.col("a").alias("class"), F.col("n_a").alias("n"), F.col("n_b").alias("n_leader"),
-        F.col("only_b").alias("lacks"), F.col("only_a").alias("besides"))
-    sizes = mine.groupBy("leader").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select(
-        "leader", F.ceil(F.col("members") / block).cast("int").alias("blocks"))
-    dealt = mine.join(sizes, "leader").withColumn(
-        "block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-    pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        F.col("only_b").alias("lacks"), F.col("only_a").alias("besides"), "link")
+    blocks = lambda members: F.ceil(members / block).cast("int")
+    sizes = mine.groupBy("leader").agg(
+        F.count_if(~F.col("link")).alias("apart"), F.count_if("link").alias("linked")).where(
+        "apart > 0 and apart + linked > 1").select(
+        "leader", blocks(F.col("apart")).alias("first"), blocks(F.col("linked")).alias("second"))
+    place = F.xxhash64("class")
+    dealt = mine.join(sizes, "leader").withColumn("block", F.when(
+        F.col("link"), F.col("first") + F.pmod(place, F.greatest("second", F.lit(1)))).otherwise(
+        F.pmod(place, F.col("first"))).cast("int"))
+    last = F.when(F.col("link"), F.col("first")).otherwise(F.col("first") + F.col("second")) - 1
+    pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), last))).select(
         "leader", "class", "n", "n_leader", "lacks", "besides", "block",
         F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"))
     return pairs.groupBy("leader", "b1", "b2").applyInPandas(lambda part: _derive(part, percent), "a long, b long")
