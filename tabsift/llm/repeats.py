@@ -21,15 +21,17 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tabsift.llm.common import chunks, small_batches, staged
+from tabsift.llm.common import chunks, discard, small_batches, staged
 
 #: Length of the repeated strings, of the grams that anchor them, and of a round of the merge, in bytes.
 LENGTH, GRAM, STEP = 200, 16, 8
 #: Strings of one block, bytes of blocks merged at once, and text bytes scanned at once.
 BLOCK, LOT_BYTES, CHUNK_BYTES = 24, 1_000_000, 1_000_000
-#: Windows of one anchor above which its strings are counted one by one, so that no group grows with the input.
+#: Different windows of one anchor above which its strings are counted one by one, so that no group grows with the input.
 #: A block takes about 60 bytes, so fewer windows are a few megabytes.
 CROWD = 50_000
+#: Anchors and windows with more than one part in HOT of all rows are counted apart; rows are sampled by one in HOT_STEP.
+HOT, HOT_STEP = 1_000, 64
 #: Bytes that UTF-8 never holds: the end of a block, the ends of the two shards, and the mark of common bytes.
 END, LAST, MARK = 0xFF, (0xFD, 0xFE), 0xF5
 
@@ -226,6 +228,44 @@ def packed_rows(rows: DataFrame, text: str) -> DataFrame:
     return rows.mapInArrow(run, rows.select(*kept, F.lit(b"").alias("packed__")).schema)
 
 
+def judged_windows(rows: DataFrame, *, crowd: int, hot: int = HOT, step: int = HOT_STEP) -> DataFrame:
+    """(row, start, many, place, solved, compare, crowded) of the windows (anchor, window, row, at) that may hold repeats.
+
+    Windows that occur again are solved; of the equal windows of an anchor that has others too, the first is to be
+    compared. The rows of an anchor meet in one task, but for those of hot anchors: there windows are counted before the
+    shuffle, and the counts go back to the rows, those of hot windows by a broadcast. A sample names the hot anchors, less
+    than ``hot`` of them, so it decides only where rows are counted.
+    """
+    by_anchor = Window.partitionBy("anchor")
+    by_window = Window.partitionBy("anchor", "window")
+    sample = rows.where(F.pmod(F.xxhash64("row", "at"), F.lit(step)) == 0).groupBy("anchor").count()
+    sample = staged(sample, "anchor-sample")
+    seen = sample.agg(F.sum("count")).first()[0] or 0
+    heavy = F.broadcast(sample.where(F.col("count") * hot > seen).select("anchor"))  # less than ``hot`` rows
+    # One order serves all the counts of the other anchors.
+    cold = rows.join(heavy, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor", "window", "row", "at")
+    cold = cold.select(
+        "*", F.count(F.lit(1)).over(by_window).alias("same"),
+        (F.row_number().over(by_window.orderBy("row", "at")) == 1).alias("head"),
+    ).withColumn("kinds", F.count_if("head").over(by_anchor))
+    warm = rows.join(heavy, "anchor", "left_semi")
+    known = staged(warm.groupBy("anchor", "window").agg(
+        F.count(F.lit(1)).alias("same"), F.min(F.struct("row", "at")).alias("one")), "hot-windows")
+    total = known.agg(F.sum("same")).first()[0] or 0
+    kinds = F.broadcast(known.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")))  # less than ``hot`` rows
+    known = known.join(kinds, "anchor").where("same > 1 or kinds > 1")
+    many = F.col("same") * hot > total
+    often = F.broadcast(known.where(many))  # less than ``hot`` rows
+    key = ["anchor", "window"]
+    warm = warm.join(often, key).unionByName(warm.join(often, key, "left_anti").join(known.where(~many), key))
+    warm = warm.withColumn("head", F.struct("row", "at") == F.col("one")).drop("one")
+    return cold.where("same > 1 or kinds > 1").unionByName(warm).select(
+        "row", F.shiftright("at", 24).cast("int").alias("start"),
+        F.shiftright("at", 12).bitwiseAND(4095).cast("int").alias("many"),
+        F.col("at").bitwiseAND(4095).cast("int").alias("place"), (F.col("same") > 1).alias("solved"),
+        (F.col("head") & (F.col("kinds") > 1)).alias("compare"), (F.col("kinds") > crowd).alias("crowded"))
+
+
 def mark_of(key: int, block: int) -> bytes:
     """Stands for the bytes that the strings of a block have in common; fills strings up to whole rounds."""
     digits, key = [MARK], key % MARK**8
@@ -355,7 +395,7 @@ def compare_blocks(blocks: DataFrame, block: int, lot_bytes: int) -> DataFrame:
 
 def remove_repeats(
     docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc_id", text: str = "text",
-    block: int = BLOCK, lot_bytes: int = LOT_BYTES, crowd: int = CROWD, keep: tuple[str, ...] = (),
+    block: int = BLOCK, lot_bytes: int = LOT_BYTES, crowd: int = CROWD, hot: int = HOT, keep: tuple[str, ...] = (),
     whole_characters: bool = False,
 ) -> DataFrame:
     """One row per document: id_col, n_bytes, n_removed, n_spans, kept (binary), and the columns named in ``keep``.
@@ -374,30 +414,17 @@ def remove_repeats(
     source = docs.select(F.xxhash64(id_col, text).alias("row__"), F.col(id_col).alias("id__"),
                          F.coalesce(F.col(text), F.lit("")).alias("text__"), *keep)
     plain = source.select(F.col("row__").alias("row"), F.col("text__").alias("text"))
-    rows = scan_windows(plain, length)
-    # One order serves all the counts below.
-    rows = rows.repartition("anchor").sortWithinPartitions("anchor", "window", "row", "at")
-    by_anchor = Window.partitionBy("anchor")
-    by_window = Window.partitionBy("anchor", "window")
-    judged = rows.select(
-        "*", F.count(F.lit(1)).over(by_window).alias("same"),
-        F.row_number().over(by_window.orderBy("row", "at")).alias("turn"),
-        (F.min("window").over(by_anchor) < F.max("window").over(by_anchor)).alias("differs"),
-        F.count(F.lit(1)).over(by_anchor).alias("near"),
-    ).where("same > 1 or differs").select(
-        "row", F.shiftright("at", 24).cast("int").alias("start"),
-        F.shiftright("at", 12).bitwiseAND(4095).cast("int").alias("many"),
-        F.col("at").bitwiseAND(4095).cast("int").alias("place"), (F.col("same") > 1).alias("solved"),
-        (F.col("differs") & (F.col("turn") == 1)).alias("compare"), (F.col("near") > crowd).alias("crowded"))
-    judged = staged(judged, "repeat-windows")
+    rows = staged(scan_windows(plain, length), "repeat-scan")
+    judged = staged(judged_windows(rows, crowd=crowd, hot=hot), "repeat-windows")
+    discard(rows)
     # Of equal windows one stands for all where they are compared with others.
     windows = judged.where("compare").groupBy("row").agg(
-        F.collect_list(F.struct("start", "many", "place", "solved", "crowded")).alias("windows"))
+        F.collect_set(F.struct("start", "many", "place", "solved", "crowded")).alias("windows"))
     packed = packed_rows(plain, "text")
     compared = compare_blocks(cut_blocks(packed.join(windows, "row"), length, block), block, lot_bytes)
     solved = judged.where("solved").select("row", "start", "many", F.lit(-1).alias("mask"))
     spans = solved.union(compared).groupBy("row").agg(
-        F.collect_list(F.struct("start", "many", "mask")).alias("spans__")).withColumnRenamed("row", "row__")
+        F.collect_set(F.struct("start", "many", "mask")).alias("spans__")).withColumnRenamed("row", "row__")
     texts = packed_rows(source, "text__").join(spans, "row__", "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

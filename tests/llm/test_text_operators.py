@@ -87,6 +87,17 @@ def test_repeats_of_odd_rows(odd, options):
     assert found_repeats(odd, **options) == plain_repeats(pairs_of(odd), options.get("length", 200))
 
 
+@pytest.mark.parametrize("hot", [5, 10**9])
+def test_hot_anchors_are_judged_as_the_others(docs, odd, hot):
+    for df in (docs, odd):
+        plain = df.select(F.xxhash64("doc_id", "text").alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+        rows = repeats.scan_windows(plain, 64).cache()
+        wanted = {tuple(r) for r in repeats.judged_windows(rows, crowd=2, hot=0).collect()}
+        got = {tuple(r) for r in repeats.judged_windows(rows, crowd=2, hot=hot, step=1).collect()}
+        assert got == wanted and wanted
+        rows.unpersist()
+
+
 def test_repeats_of_no_rows(odd):
     assert found_repeats(empty(odd)) == []
 
@@ -180,6 +191,45 @@ def test_groups_of_variants(spark, percent):
     assert found_groups(df, percent=percent) == plain_groups(pairs_of(df), percent=percent)
 
 
+def test_pairs_of_one_component_are_not_derived(spark):
+    """Sets around leaders: those that link to theirs meet only the rest, in blocks of any size, and no link is lost."""
+    rng = np.random.default_rng(6)
+    rows, sets, size = [], {}, {}
+    for leader in range(5):
+        head = set(range(1000 * leader, 1000 * leader + 60))
+        sets[leader] = head
+        for k in range(24):
+            out = 0 if leader == 3 else rng.integers(0, 22)  # all of the fourth leader's sets link to it
+            mine = {int(x) for x in rng.choice(sorted(head), 60 - out, replace=False)}
+            mine |= {int(x) for x in rng.integers(5000, 5012, rng.integers(0, 4))}
+            name = 100 + 24 * leader + k
+            sets[name] = mine
+            both = len(head & mine)
+            only = lambda x: np.array(sorted(x), np.int64).tobytes()
+            rows.append((name, leader, len(mine), 60, both, bytearray(only(mine - head)), bytearray(only(head - mine)),
+                         100 * both >= 85 * (len(mine) + 60 - both)))
+    answers = spark.createDataFrame(rows, set_join.ANSWER + ", link boolean")
+    group = {r[0]: r[1] for r in rows}
+    led = {(r[0], r[1]) for r in rows if r[7]}
+
+    def grouped(pairs):
+        root = {x: x for x in sets}
+        for a, b in pairs:
+            old, new = root[a], root[b]
+            root = {x: new if r == old else r for x, r in root.items()}
+        parts = {}
+        for x, r in root.items():
+            parts.setdefault(r, set()).add(x)
+        return sorted(map(sorted, parts.values()))
+
+    linked = lambda x, y: 100 * len(x & y) >= 85 * len(x | y)
+    wanted = {(a, b) for a in group for b in group if a < b and group[a] == group[b] and linked(sets[a], sets[b])}
+    for block in (3, 1024):
+        got = {tuple(r) for r in set_join.derived_links(answers, 85, block).collect()}
+        assert grouped(got | led) == grouped(wanted | led) != grouped(led)
+        assert not any(group[a] == 3 for a, _ in got)
+
+
 def test_groups_of_odd_rows(odd):
     assert found_groups(odd) == plain_groups(pairs_of(odd))
     assert found_groups(empty(odd)) == []
