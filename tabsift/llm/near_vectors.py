@@ -1,7 +1,7 @@
 """Near duplicates among embeddings: spherical k-means cells, blocked cosine products, one kept per group.
 
 Equal directions are one class first, so copies never meet in pairs. The classes of a label go to cells around
-centroids, which are fitted on a bounded sample; every class is in its nearest cells. A cell of any size is cut into
+centroids, which a task per label fits on a bounded sample of its own; every class is in its nearest cells. A cell of any size is cut into
 blocks, and pairs of blocks are compared by one matrix product each: a hot cell means more products, no larger ones.
 """
 
@@ -18,10 +18,14 @@ from pyspark.sql import DataFrame, functions as F
 from tabsift.llm.common import nullable, staged
 from tabsift.llm.components import components, local_roots
 
-#: Rows of a cell that the number of centroids aims at, sample rows per centroid, and rows of the whole sample.
-CELL_ROWS, SAMPLE_PER_CELL, SAMPLE_ROWS = 2_000, 32, 40_000
+#: Rows of a cell that the number of centroids aims at, and rows of the sample of one label at most.
+CELL_ROWS, SAMPLE_ROWS = 2_000, 40_000
+#: Sample rows per centroid: wanted, and needed at least.
+SAMPLE_PER_CELL, SAMPLE_LEAST = 256, 32
 #: Cells each class is put in, and classes of one block of a product.
 CELLS, BLOCK = 3, 2_048
+#: Classes that are put in cells by one group.
+PART_ROWS = 50_000
 
 
 def unit_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
@@ -63,7 +67,7 @@ def spherical_kmeans(rows: np.ndarray, k: int, seed: int = 11, rounds: int = 12)
     draw = np.random.default_rng(seed)
     centres = rows[draw.choice(len(rows), k, replace=False)]
     for _ in range(rounds):
-        nearest = (rows @ centres.T).argmax(1)
+        nearest = np.concatenate([(rows[at:at + BLOCK] @ centres.T).argmax(1) for at in range(0, len(rows), BLOCK)])
         sums = np.zeros_like(centres)
         np.add.at(sums, nearest, rows)
         norms = np.linalg.norm(sums, axis=1, keepdims=True)
@@ -71,42 +75,53 @@ def spherical_kmeans(rows: np.ndarray, k: int, seed: int = 11, rounds: int = 12)
     return centres
 
 
-def fit_cells(classes: DataFrame, *, cell_rows: int, sample_rows: int) -> dict:
-    """Centroids for every (label, dim) with more than ``cell_rows`` classes, by a sample of ``sample_rows`` rows."""
+def fit_cells(classes: DataFrame, *, cell_rows: int, sample_rows: int) -> DataFrame:
+    """(label, dim, count, centres) of every (label, dim) with more than ``cell_rows`` classes; centres as double bytes.
+
+    Each is fitted in a task of its own, on about SAMPLE_PER_CELL of its classes per centroid and ``sample_rows`` at
+    most, so the samples of other labels take none of it away.
+    """
     sizes = classes.groupBy("label", "dim").count().where(F.col("count") > cell_rows)
-    place = F.xxhash64(F.lit(7), "class")
-    sample = classes.join(sizes, ["label", "dim"]).orderBy(place).limit(sample_rows).select(
-        "label", "dim", "count", "unit").toPandas()
-    cells = {}
-    for (tag, dim), part in sample.groupby(["label", "dim"], sort=True):
-        k = min(-(-int(part["count"].iloc[0]) // cell_rows), len(part) // SAMPLE_PER_CELL)
-        if k > 1:
-            rows = np.frombuffer(b"".join(part["unit"]), float).reshape(len(part), -1)
-            cells[tag, int(dim)] = spherical_kmeans(rows, k)
-    return cells
-
-
-def to_cells(classes: DataFrame, cells: dict, nearest: int) -> DataFrame:
-    """The classes with cells, the ``nearest`` cells of their label in order of number; [0] where there is but one."""
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            found = [[0]] * len(part)
-            groups: dict = {}
-            for at, key in enumerate(zip(part["label"].tolist(), part["dim"].tolist())):
-                if key in cells:
-                    groups.setdefault(key, []).append(at)
-            for key, at in groups.items():
-                rows = np.frombuffer(b"".join(part["unit"].iloc[at]), float).reshape(len(at), -1)
-                near = rows @ cells[key].T
-                take = min(nearest, near.shape[1])
-                best = np.sort(np.argpartition(-near, take - 1, axis=1)[:, :take], axis=1)
-                for row, mine in zip(at, best.tolist()):
-                    found[row] = mine
-            yield part.assign(cells=found)
-
-    schema = classes.select("*", F.array(F.lit(0)).alias("cells")).schema
-    return classes.mapInPandas(run, schema)
+    wanted = F.least(F.lit(sample_rows), F.ceil(F.col("count") / cell_rows) * SAMPLE_PER_CELL)
+    place = F.pmod(F.xxhash64(F.lit(7), "class"), F.lit(1 << 40)) / float(1 << 40)
+    sample = classes.join(sizes, ["label", "dim"]).where(place < wanted / F.col("count")).select("label", "dim", "count", "class", "unit")
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("class")  # the same centroids in every run
+        k = max(1, min(-(-int(part["count"].iloc[0]) // cell_rows), len(part) // SAMPLE_LEAST))
+        rows = np.frombuffer(b"".join(part["unit"]), float).reshape(len(part), -1)
+        return part[["label", "dim", "count"]].head(1).assign(centres=[spherical_kmeans(rows, k).tobytes()])
+
+    schema = nullable(sample.select("label", "dim", "count", F.col("unit").alias("centres")).schema)
+    return sample.groupBy("label", "dim").applyInPandas(run, schema)
+
+
+def to_cells(classes: DataFrame, centres: DataFrame, nearest: int, part_rows: int = PART_ROWS) -> DataFrame:
+    """The classes with cells, the ``nearest`` cells of their label in order of number; [0] where there is but one.
+
+    The classes of a label are dealt into parts, and each part meets a copy of the label's centroids.
+    """
+    key, names = ["label", "dim"], classes.columns
+    sizes = centres.select(*key, F.ceil(F.col("count") / part_rows).cast("int").alias("parts"))
+    dealt = classes.join(sizes, key, "left")
+    alone = dealt.where("parts is null").select(*names, F.array(F.lit(0)).alias("cells"))
+    dealt = dealt.where("parts is not null").withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
+    copies = centres.join(sizes, key).select(
+        *key, "centres", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+
+    def run(part: pd.DataFrame, centre: pd.DataFrame) -> pd.DataFrame:
+        if not len(part):
+            return pd.DataFrame(columns=[*names, "cells"])
+        dim, found = int(part["dim"].iloc[0]), []
+        mine = np.frombuffer(centre["centres"].iloc[0], float).reshape(-1, dim)
+        take = min(nearest, len(mine))
+        for at in range(0, len(part), BLOCK):
+            rows = np.frombuffer(b"".join(part["unit"].iloc[at:at + BLOCK]), float).reshape(-1, dim)
+            found += np.sort(np.argpartition(-(rows @ mine.T), take - 1, axis=1)[:, :take], axis=1).tolist()
+        return part[names].assign(cells=found)
+
+    cells = dealt.groupBy(*key, "part").cogroup(copies.groupBy(*key, "part")).applyInPandas(run, nullable(alone.schema))
+    return alone.unionByName(cells)
 
 
 def _compare(part: pd.DataFrame, threshold: float) -> pd.DataFrame:
@@ -163,8 +178,8 @@ def near_vectors(
     classes = staged(
         taking.groupBy("label", "dim", "class").agg(
             F.min("id").alias("least"), F.count(F.lit(1)).alias("n"), F.min("unit").alias("unit")), "vector-classes")
-    cells = fit_cells(classes, cell_rows=cell_rows, sample_rows=sample_rows)
-    placed = to_cells(classes.select("label", "dim", "class", "n", "unit"), cells, nearest)
+    centres = staged(fit_cells(classes, cell_rows=cell_rows, sample_rows=sample_rows), "vector-centres")
+    placed = to_cells(classes.select("label", "dim", "class", "n", "unit"), centres, nearest)
     placed = placed.select("*", F.explode("cells").alias("cell"))
     placed = staged(placed, "vector-cells")
     key = ["label", "dim", "cell"]

@@ -92,6 +92,34 @@ def test_cells_find_nine_of_ten_links(spark):
     assert links(once) <= links(got)
 
 
+def test_every_large_label_gets_cells_of_its_own(spark):
+    """Many labels at once: none takes the sample of another, parts of a label agree, and recall holds in each."""
+    rng = np.random.default_rng(13)
+    rows, number = [], 0
+    for label in range(12):
+        for _ in range(15 if label == 11 else 80):  # the last label is small
+            centre = rng.normal(size=24)
+            for _ in range(4):
+                rows.append((number, (centre + 0.12 * rng.normal(size=24)).tolist(), label))
+                number += 1
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)
+    options = {"cell_rows": 64, "sample_rows": 200}
+    classes = near_vectors.unit_vectors(df).select("label", "dim", "class", "unit", F.lit(1).alias("n")).cache()
+    centres = near_vectors.fit_cells(classes, **options).cache()
+    held = {r["label"]: len(r["centres"]) // 8 // 24 for r in centres.collect()}
+    assert sorted(held) == list(range(11)) and all(2 <= k <= 5 for k in held.values())
+    whole, parts = (sorted((r["class"], r["cells"]) for r in near_vectors.to_cells(classes, centres, 2, n).collect())
+                    for n in (50_000, 30))
+    assert whole == parts and len(whole) == len(rows)
+    assert all(len(c) == 2 or c == [0] for _, c in whole)
+    got, wanted = found_links(df, **options), plain_links(rows, 0.93)
+    assert all(g[1] <= w[1] for g, w in zip(got, wanted))
+    for label in range(12):
+        of = {r[0] for r in rows if r[2] == label}
+        links = lambda found: sum(r[1] for r in found if r[0] in of)
+        assert links(wanted) and links(got) >= 0.9 * links(wanted)
+
+
 def test_components(spark):
     rng = np.random.default_rng(5)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(1000 + k, 1001 + k) for k in range(60)]
