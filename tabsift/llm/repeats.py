@@ -241,24 +241,26 @@ def judged_windows(rows: DataFrame, *, crowd: int, hot: int = HOT, step: int = H
     sample = rows.where(F.pmod(F.xxhash64("row", "at"), F.lit(step)) == 0).groupBy("anchor").count()
     sample = staged(sample, "anchor-sample")
     seen = sample.agg(F.sum("count")).first()[0] or 0
-    heavy = F.broadcast(sample.where(F.col("count") * hot > seen).select("anchor"))  # less than ``hot`` rows
-    # One order serves all the counts of the other anchors.
-    cold = rows.join(heavy, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor", "window", "row", "at")
-    cold = cold.select(
-        "*", F.count(F.lit(1)).over(by_window).alias("same"),
-        (F.row_number().over(by_window.orderBy("row", "at")) == 1).alias("head"),
-    ).withColumn("kinds", F.count_if("head").over(by_anchor))
-    warm = rows.join(heavy, "anchor", "left_semi")
-    known = staged(warm.groupBy("anchor", "window").agg(
+    key = ["anchor", "window"]
+    heavy = sample.where(F.col("count") * hot > seen).select("anchor", F.lit(True).alias("hot"))
+    marked = rows.join(F.broadcast(heavy), "anchor", "left")  # less than ``hot`` rows
+    known = staged(marked.where("hot").groupBy(*key).agg(
         F.count(F.lit(1)).alias("same"), F.min(F.struct("row", "at")).alias("one")), "hot-windows")
     total = known.agg(F.sum("same")).first()[0] or 0
     kinds = F.broadcast(known.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")))  # less than ``hot`` rows
     known = known.join(kinds, "anchor").where("same > 1 or kinds > 1")
+    # Every row is marked by one row at most: its window is one row of the counts.
     many = F.col("same") * hot > total
-    often = F.broadcast(known.where(many))  # less than ``hot`` rows
-    key = ["anchor", "window"]
-    warm = warm.join(often, key).unionByName(warm.join(often, key, "left_anti").join(known.where(~many), key))
-    warm = warm.withColumn("head", F.struct("row", "at") == F.col("one")).drop("one")
+    marked = marked.join(F.broadcast(known.where(many)), key, "left")  # less than ``hot`` rows
+    often = marked.where("same is not null")
+    rest = marked.where("hot and same is null").select(*rows.columns).join(known.where(~many), key)
+    warm = often.drop("hot").unionByName(rest).withColumn("head", F.struct("row", "at") == F.col("one")).drop("one")
+    # One order serves all the counts of the other anchors.
+    cold = marked.where("hot is null").select(*rows.columns).repartition("anchor").sortWithinPartitions(*key, "row", "at")
+    cold = cold.select(
+        "*", F.count(F.lit(1)).over(by_window).alias("same"),
+        (F.row_number().over(by_window.orderBy("row", "at")) == 1).alias("head"),
+    ).withColumn("kinds", F.count_if("head").over(by_anchor))
     return cold.where("same > 1 or kinds > 1").unionByName(warm).select(
         "row", F.shiftright("at", 24).cast("int").alias("start"),
         F.shiftright("at", 12).bitwiseAND(4095).cast("int").alias("many"),
