@@ -233,8 +233,8 @@ def judged_windows(rows: DataFrame, *, crowd: int, hot: int = HOT, step: int = H
 
     Windows that occur again are solved; of the equal windows of an anchor that has others too, the first is to be
     compared. The rows of an anchor meet in one task, but for those of hot anchors: there windows are counted before the
-    shuffle, and the counts go back to the rows, those of hot windows by a broadcast. A sample names the hot anchors, less
-    than ``hot`` of them, so it decides only where rows are counted.
+    shuffle; the counts of hot ones go back to the rows by a broadcast, the rest is counted window by window. A sample
+    names the hot anchors, less than ``hot`` of them, so it decides only where rows are counted.
     """
     by_anchor = Window.partitionBy("anchor")
     by_window = Window.partitionBy("anchor", "window")
@@ -243,25 +243,22 @@ def judged_windows(rows: DataFrame, *, crowd: int, hot: int = HOT, step: int = H
     seen = sample.agg(F.sum("count")).first()[0] or 0
     key = ["anchor", "window"]
     heavy = sample.where(F.col("count") * hot > seen).select("anchor", F.lit(True).alias("hot"))
-    marked = rows.join(F.broadcast(heavy), "anchor", "left")  # less than ``hot`` rows
-    known = staged(marked.where("hot").groupBy(*key).agg(
+    known = staged(rows.join(F.broadcast(heavy), "anchor", "left").where("hot").groupBy(*key).agg(
         F.count(F.lit(1)).alias("same"), F.min(F.struct("row", "at")).alias("one")), "hot-windows")
     total = known.agg(F.sum("same")).first()[0] or 0
-    kinds = F.broadcast(known.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")))  # less than ``hot`` rows
-    known = known.join(kinds, "anchor").where("same > 1 or kinds > 1")
-    # Every row is marked by one row at most: its window is one row of the counts.
-    many = F.col("same") * hot > total
-    marked = marked.join(F.broadcast(known.where(many)), key, "left")  # less than ``hot`` rows
-    often = marked.where("same is not null")
-    rest = marked.where("hot and same is null").select(*rows.columns).join(known.where(~many), key)
-    warm = often.drop("hot").unionByName(rest).withColumn("head", F.struct("row", "at") == F.col("one")).drop("one")
-    # One order serves all the counts of the other anchors.
-    cold = marked.where("hot is null").select(*rows.columns).repartition("anchor").sortWithinPartitions(*key, "row", "at")
-    cold = cold.select(
+    kinds = known.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"))  # less than ``hot`` rows, as the hot windows
+    often = known.where(F.col("same") * hot > total)
+    marked = rows.join(F.broadcast(kinds), "anchor", "left").join(F.broadcast(often), key, "left")
+    warm = marked.where("same is not null").withColumn("head", F.struct("row", "at") == F.col("one")).drop("one")
+    # The other windows of hot anchors have few rows each, and go where their own hash says.
+    counted = lambda df: df.select(
         "*", F.count(F.lit(1)).over(by_window).alias("same"),
-        (F.row_number().over(by_window.orderBy("row", "at")) == 1).alias("head"),
-    ).withColumn("kinds", F.count_if("head").over(by_anchor))
-    return cold.where("same > 1 or kinds > 1").unionByName(warm).select(
+        (F.row_number().over(by_window.orderBy("row", "at")) == 1).alias("head"))
+    rest = counted(marked.where("kinds is not null and same is null").drop("same", "one").repartition(*key))
+    # One order serves all the counts of the other anchors.
+    cold = marked.where("kinds is null").select(*rows.columns).repartition("anchor").sortWithinPartitions(*key, "row", "at")
+    cold = counted(cold).withColumn("kinds", F.count_if("head").over(by_anchor))
+    return cold.unionByName(rest).unionByName(warm).where("same > 1 or kinds > 1").select(
         "row", F.shiftright("at", 24).cast("int").alias("start"),
         F.shiftright("at", 12).bitwiseAND(4095).cast("int").alias("many"),
         F.col("at").bitwiseAND(4095).cast("int").alias("place"), (F.col("same") > 1).alias("solved"),
