@@ -87,17 +87,6 @@ def test_repeats_of_odd_rows(odd, options):
     assert found_repeats(odd, **options) == plain_repeats(pairs_of(odd), options.get("length", 200))
 
 
-@pytest.mark.parametrize("hot", [5, 10**9])
-def test_hot_anchors_are_judged_as_the_others(docs, odd, hot):
-    for df in (docs, odd):
-        plain = df.select(F.xxhash64("doc_id", "text").alias("row"), F.coalesce("text", F.lit("")).alias("text"))
-        rows = repeats.scan_windows(plain, 64).cache()
-        wanted = {tuple(r) for r in repeats.judged_windows(rows, crowd=2, hot=0).collect()}
-        got = {tuple(r) for r in repeats.judged_windows(rows, crowd=2, hot=hot, step=1).collect()}
-        assert got == wanted and wanted
-        rows.unpersist()
-
-
 def test_repeats_of_no_rows(odd):
     assert found_repeats(empty(odd)) == []
 
