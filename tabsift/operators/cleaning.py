@@ -10,6 +10,7 @@ from tabsift.functions.columns import col, round_half_even
 from tabsift.operators.ranking import exact_quantiles
 from tabsift.roles import Roles
 from tabsift.session import cut_lineage
+from tabsift.sources.sinks import measured
 
 # What missing numbers and missing text become.
 SENTINEL = -999999
@@ -203,7 +204,7 @@ def impute_median(df: DataFrame, names: list[str], by: str = "split") -> DataFra
         )
     )
     at = {c: i for i, c in enumerate(names)}
-    joined = df.join(wide, by, "left")
+    joined = df.join(measured(wide, "medians"), by, "left")
     return joined.select(
         *(
             F.coalesce(col(c).cast("double"), F.col(f"__m{at[c]}")).alias(c) if c in at else col(c)

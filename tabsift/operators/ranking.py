@@ -21,6 +21,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabsift.functions.columns import col, ratio
+from tabsift.sources.sinks import measured
 
 # Cut points over all value columns together: bounds what the driver holds and
 # the number of (column, bucket) rows that are broadcast per group.
@@ -157,7 +158,7 @@ def exact_quantiles(
     )
     carried = ("before", "total", "low", "high")
     near = (
-        long.join(wanted, [*keys, "bucket"])
+        long.join(measured(wanted, "wanted"), [*keys, "bucket"])
         .groupBy(*keys, "bucket", "value")
         .agg(F.count(F.lit(1)).alias("n"), *(F.first(c).alias(c) for c in carried))
     )

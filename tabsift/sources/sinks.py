@@ -7,6 +7,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from tabsift.session import scratch_path
+
 
 def write_stage(df: DataFrame, path: str, by: str | None = "split", sort: str | None = None) -> None:
     """Write a stage table, one folder per ``by`` value for partition pruning.
@@ -26,6 +28,14 @@ def read_stage(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def measured(df: DataFrame, name: str) -> DataFrame:
+    """A table made from groups, written once: Spark then knows its size and sends a small one to the rows that are
+    joined with it. Unwritten it counts as large, and all of those rows are shuffled by the group."""
+    path = scratch_path(df.sparkSession, name)
+    write_stage(df, path, by=None)
+    return read_stage(df.sparkSession, path)
+
+
 def feature_report(selected: DataFrame, split: DataFrame) -> DataFrame:
     """One row: selected features in rank order, row and column counts per split.
 
