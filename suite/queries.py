@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline
@@ -45,6 +46,8 @@ NUMERIC = [
     "drift_half", "drift_some", "drift_up", "sparse_col",
 ]
 TEXT = ["seg_signal", "priority", "segment"]
+# Events of a lot in one file of requests.
+LOT_FILE_ROWS = 1_000_000
 
 
 def query(fn: Query) -> Query:
@@ -963,21 +966,37 @@ def stream_quantile_bins(spark, sf):
     return sizes.join(found, "window_start").withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd"))
 
 
+def _delivered(events, path, file_rows):
+    """Files of requests below ``path``/in, lot after lot; returns the files of a lot, the same for all.
+
+    Lot k holds the events of some days, half of them again, and every 97th event of ten days before. A batch of the
+    stream is a lot; a large one is written by several tasks.
+    """
+    day = F.to_date("ts")
+    sizes = {r["d"]: r["n"] for r in events.groupBy(day.alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("d").asc_nulls_first()).collect()}
+    days = list(sizes)
+    lots = [days[i:i + 10] for i in range(0, len(days), 10)]
+    rows_of = [sum(sizes[d] for d in lot) for lot in lots]
+    files = max(1, min(math.ceil(max(rows_of) / file_rows), min(rows_of) // 1000))  # none of a small lot is empty
+    number = F.floor((F.array_position(F.array(*(F.lit(d) for d in days)), day) - 1) / 10).cast("int")
+    write_stage(events.withColumn("lot", number), f"{path}/lots", by="lot")
+    dealt = read_stage(events.sparkSession, f"{path}/lots")
+    for k in range(len(lots)):
+        rows = dealt.filter((F.col("lot") == k) & (F.col("event_id") % 97 != 0))
+        late = dealt.filter((F.col("lot") == k - 1) & (F.col("event_id") % 97 == 0))
+        found = rows.unionByName(rows.filter("event_id % 2 = 0")).unionByName(late).select(*events.columns)
+        (found.coalesce(1) if files == 1 else found.repartition(files)).write.mode("append").parquet(f"{path}/in")
+    return files
+
+
 @query
 def stream_requests(spark, sf):
     """Events delivered twice, in files by day, a few of them late: scored once each, late ones set apart."""
     leader = _event_model(spark, sf)
     events = V.stream_events(spark, sf)
     path = scratch_path(spark, "requests")
-    day = F.to_date("ts")
-    # File k holds the events of some days, half of them again, and every 97th event of ten days before.
-    days = events.select(day.alias("d")).distinct().orderBy("d").collect()
-    for k, lot in enumerate([days[i:i + 10] for i in range(0, len(days), 10)]):
-        mine = [r["d"] for r in lot]
-        rows = events.filter(day.isin(mine) & (F.col("event_id") % 97 != 0))
-        late = events.filter(day.isin([r["d"] for r in days[max(0, 10 * (k - 1)):10 * k]]) & (F.col("event_id") % 97 == 0))
-        rows.unionByName(rows.filter("event_id % 2 = 0")).unionByName(late).coalesce(1).write.mode("append").parquet(f"{path}/in")
-    stream = read_stream(spark, f"{path}/in", events.schema, max_files=1)
+    files = _delivered(events, path, LOT_FILE_ROWS)
+    stream = read_stream(spark, f"{path}/in", events.schema, max_files=files)
     scores, late = score_requests(stream, leader.model, leader.features, ["event_id"], ["event_id"], "ts", f"{path}/out", "12 hours")
     kind = lambda df, name: df.select("event_id", F.lit(name).alias("kind"))
     return kind(scores, "scored").unionByName(kind(late, "late"))
