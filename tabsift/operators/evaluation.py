@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tabsift.functions.columns import closed_right_bin, col, linear_probs, ratio, round_half_even
 from tabsift.operators.ranking import auc_of, average_precision, exact_quantiles, rank_sums, stacked
 from tabsift.roles import Roles, month_of, within
+from tabsift.sources.sinks import measured
 
 # Groups of so many rows or fewer get no figures, unless the caller names another size.
 MORE_THAN_ROWS = 10
@@ -126,7 +127,7 @@ def _binned(long: DataFrame, keys: list[str], bins: int, more_than: int) -> Data
         *keys, F.array_distinct("quantiles").alias("edges")
     )
     # One row per key on the right; Spark picks the join by its measured size.
-    placed = named.join(edges, keys, "left").withColumn("s", F.nullif(F.col("s"), F.lit(float("nan"))))
+    placed = named.join(measured(edges, "edges"), keys, "left").withColumn("s", F.nullif(F.col("s"), F.lit(float("nan"))))
     in_bin = placed.groupBy(
         *keys, F.col("s").isNull().alias("absent"), closed_right_bin(F.col("s"), F.col("edges"), bins + 1).alias("bin")
     ).agg(
