@@ -6,7 +6,7 @@ table with one row per feature.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
@@ -112,6 +112,15 @@ def _learned_rows(split: DataFrame, names: list[str], target: str, order_by: lis
     return rows.select(*(col(c) for c in inputs), col(target).cast("double").alias("label__")), inputs
 
 
+def _fitted(rows: DataFrame, inputs: list[str], trees) -> PipelineModel:
+    """The trees fitted to the rows, which are kept meanwhile: a fit passes over them several times."""
+    kept = rows.persist()
+    try:
+        return Pipeline(stages=[*feature_stages(kept, inputs), trees.setMaxBins(tree_bins(kept, inputs))]).fit(kept)
+    finally:
+        kept.unpersist()
+
+
 def forest_importance(split: DataFrame, names: list[str], target: str, order_by: list[str] | None = None) -> DataFrame:
     """Importance of each feature in a small random forest on the training rows.
 
@@ -119,8 +128,7 @@ def forest_importance(split: DataFrame, names: list[str], target: str, order_by:
     of the rows before in a hashed order instead, for any number of categories.
     """
     rows, inputs = _learned_rows(split, names, target, order_by)
-    forest = RandomForestClassifier(labelCol="label__", maxBins=tree_bins(rows, inputs), **FOREST)
-    model = Pipeline(stages=[*feature_stages(rows, inputs), forest]).fit(rows)
+    model = _fitted(rows, inputs, RandomForestClassifier(labelCol="label__", **FOREST))
     return _importances(model, names, split.sparkSession)
 
 
@@ -210,8 +218,7 @@ def boosted_importance(
     """Fallback ranking by a three-round boosted model: ``feature, importance``, positive only, best first; only
     the first ``most`` if given. ``order_by`` as in ``forest_importance``."""
     rows, inputs = _learned_rows(split, names, target, order_by)
-    boosted = GBTClassifier(labelCol="label__", maxBins=tree_bins(rows, inputs), **BOOSTED)
-    model = Pipeline(stages=[*feature_stages(rows, inputs), boosted]).fit(rows)
+    model = _fitted(rows, inputs, GBTClassifier(labelCol="label__", **BOOSTED))
     found = _importances(model, names, split.sparkSession)
     ranked = found.filter(F.col("importance") > 0).orderBy(F.desc("importance"), "feature")
     return ranked if most is None else ranked.limit(most)
