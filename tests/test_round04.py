@@ -43,7 +43,7 @@ def fits(monkeypatch):
 
 
 def test_short_tasks_leave_room_for_more_fits(spark, told):
-    assert training.at_once(told) == training.MOST_AT_ONCE
+    assert training.at_once(told) == training.SHORT_AT_ONCE > 1
     many = spark.range(4_000_000, numPartitions=8)
     assert training.at_once(many) == 1 < training.at_once(many, 0.25)
     assert training.at_once(told.limit(0)) >= 1
