@@ -64,3 +64,15 @@ def test_the_last_rung_is_fitted_whole_while_it_is_judged(told, fits):
 def test_no_fit_runs_ahead_of_a_time_limit(told, fits):
     search.search_leader(told, ROLES, ["half"], "AUC", 4, 2, keep=0.5, seconds=3600)
     assert fits["rows"].count(600) == 1
+
+
+def test_one_at_a_time_only_the_leader_is_fitted_on_all_rows(told, fits):
+    features, found = ["half", "text"], {}
+    for most in (1, 3):
+        fits["rows"].clear()
+        leader = training.train_leader(told, ROLES, features, "AUC", 2, 2, parallelism=most)
+        rows = training.training_rows(told, ROLES, features, 2, 42)
+        scored = [tuple(r["probability"]) for r in leader.model.transform(rows).select("probability").collect()]
+        found[most] = (leader.name, leader.leaderboard.collect(), sorted(scored))
+        assert fits["rows"].count(600) == (1 if most == 1 else 2) and len(fits["rows"]) == (5 if most == 1 else 6)
+    assert found[1] == found[3]
